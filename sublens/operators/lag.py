@@ -24,31 +24,33 @@ _LAST = "_lag_last"
 _PLAST = "_lag_prev_last"
 
 
-def prior_row(df: DataFrame, partition: str, order: str, cols: list[str],
+def prior_row(df: DataFrame, partition: str | list[str], order: str, cols: list[str],
               bucket_width: int = 1 << 20, prefix: str = "prior_") -> DataFrame:
     """Add ``{prefix}{c}`` = value of ``c`` on the previous row (by ``order``)
     within ``partition``, for every ``c`` in ``cols``; NULL on the first row."""
+    parts = [partition] if isinstance(partition, str) else list(partition)
     bits = max(int(bucket_width).bit_length() - 1, 0)
     ranged = df.withColumn(_B, F.shiftright(F.col(order).cast("long"), bits))
 
-    w_in = Window.partitionBy(partition, _B).orderBy(order)
+    w_in = Window.partitionBy(*parts, _B).orderBy(order)
     local = ranged.select(
         "*",
         F.lag(order).over(w_in).alias(_PREV),
         *[F.lag(c).over(w_in).alias(f"{prefix}{c}") for c in cols],
     )
 
-    last_of_range = ranged.groupBy(partition, _B).agg(
+    last_of_range = ranged.groupBy(*parts, _B).agg(
         F.max_by(F.struct(*cols), F.col(order)).alias(_LAST))
-    w_ranges = Window.partitionBy(partition).orderBy(_B)
+    w_ranges = Window.partitionBy(*parts).orderBy(_B)
     carry = last_of_range.select(
-        F.col(partition).alias("_lag_p"), F.col(_B).alias("_lag_b"),
+        *[F.col(p).alias(f"_lag_p{i}") for i, p in enumerate(parts)],
+        F.col(_B).alias("_lag_b"),
         F.lag(_LAST).over(w_ranges).alias(_PLAST))
 
-    joined = local.join(
-        carry,
-        F.col(partition).eqNullSafe(F.col("_lag_p")) & (F.col(_B) == F.col("_lag_b")),
-        "left")
+    cond = F.col(_B) == F.col("_lag_b")
+    for i, p in enumerate(parts):
+        cond = cond & F.col(p).eqNullSafe(F.col(f"_lag_p{i}"))
+    joined = local.join(carry, cond, "left")
     first_in_range = F.col(_PREV).isNull()
     return joined.select(
         *[c for c in df.columns],

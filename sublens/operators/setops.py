@@ -9,7 +9,8 @@
 * ``is_in`` — ``x IN (SELECT k ...)`` as a ``left_semi`` join.
 * ``calendar_holds`` / ``calendar_covers`` — the range joins to the date
   dimension rewritten to a scalar EXISTS or an equi-join on a per-day table
-  whose size is bounded by the number of calendar days.
+  built from the calendar alone (bounded by its span in days, so it is
+  broadcast explicitly).
 * ``rows_at_min`` / ``rows_at_max`` — rows holding a group's extreme value,
   ties kept, as aggregate + equi-join back (partial aggregation makes it
   skew-safe; no per-group sort).
@@ -18,6 +19,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,26 +32,63 @@ def _keys(lst: DataFrame, col: str) -> DataFrame:
     return lst.select(F.col(col).alias(_K)).where(F.col(_K).isNotNull()).distinct()
 
 
-def not_in(df: DataFrame, col: str, lst: DataFrame, lst_col: str | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class ListFacts:
+    """What ``NOT IN (list)`` needs to know about the whole list: whether it
+    has a row and whether it holds a NULL.  One-row aggregate, read once per
+    run; with it the predicate becomes a plain anti join with literal guards
+    (no per-use subquery)."""
+
+    nonempty: bool
+    has_null: bool
+
+    @classmethod
+    def of(cls, lst: DataFrame, col: str) -> "ListFacts":
+        return cls.many({"_": (lst, col)})["_"]
+
+    @classmethod
+    def many(cls, lists: dict[str, tuple[DataFrame, str]]) -> dict[str, "ListFacts"]:
+        """Facts of several lists with one small job (tagged union, one
+        aggregate row per list)."""
+        tagged = [lst.select(F.lit(name).alias("_list"), F.col(col).isNull().alias("_null"))
+                  for name, (lst, col) in lists.items()]
+        rows = reduce(DataFrame.unionByName, tagged).groupBy("_list").agg(
+            F.max("_null").alias("z")).collect()
+        seen = {r["_list"]: bool(r["z"]) for r in rows}
+        return {name: cls(name in seen, seen.get(name, False)) for name in lists}
+
+
+def not_in(df: DataFrame, col: str, lst: DataFrame, lst_col: str | None = None,
+           facts: ListFacts | None = None) -> DataFrame:
     """Rows of ``df`` where ``df[col] NOT IN (SELECT lst_col FROM lst)`` is TRUE.
 
     Three-valued logic: an empty list keeps every row (NULL keys too); a
     non-empty list drops NULL keys; a NULL anywhere in the list drops all.
+    Without ``facts`` the two list-level tests are scalar subqueries.
     """
     lst_col = lst_col or col
+    if facts is not None:
+        if not facts.nonempty:
+            return df
+        if facts.has_null:
+            return df.where(F.lit(False))
+        kept = df.join(_keys(lst, lst_col), F.col(col) == F.col(_K), "left_anti")
+        return kept.where(F.col(col).isNotNull())
     nonempty = lst.exists()
     has_null = lst.where(F.col(lst_col).isNull()).exists()
     kept = df.join(_keys(lst, lst_col), F.col(col) == F.col(_K), "left_anti")
     return kept.where(~nonempty | (~has_null & F.col(col).isNotNull()))
 
 
-def not_in_flag(col: str | Column, lst: DataFrame, lst_col: str, member: Column) -> Column:
+def not_in_flag(col: str | Column, facts: ListFacts, member: Column) -> Column:
     """Value of ``col NOT IN (list)`` given ``member`` = "col equals some
     non-NULL list value" (e.g. a bit computed by a join or an aggregate)."""
     c = F.col(col) if isinstance(col, str) else col
-    nonempty = lst.exists()
-    has_null = lst.where(F.col(lst_col).isNull()).exists()
-    return ~nonempty | (~has_null & c.isNotNull() & ~member)
+    if not facts.nonempty:
+        return F.lit(True)
+    if facts.has_null:
+        return F.lit(False)
+    return c.isNotNull() & ~member
 
 
 def not_in_values(col: str, values) -> Column:
@@ -62,6 +102,15 @@ def is_in(df: DataFrame, col: str, lst: DataFrame, lst_col: str | None = None) -
     return df.join(_keys(lst, lst_col), F.col(col) == F.col(_K), "left_semi")
 
 
+def calendar_facts(cal: DataFrame, day: dt.date) -> tuple[dt.date | None, dt.date | None, bool]:
+    """(first date, last date, holds ``day``) of the date dimension: one
+    one-row aggregate over a bounded dimension, read once per run."""
+    c = F.to_date("date_dt")
+    row = cal.agg(F.min(c).alias("lo"), F.max(c).alias("hi"),
+                  F.max(c == F.lit(day)).alias("has")).first()
+    return row["lo"], row["hi"], bool(row["has"])
+
+
 def calendar_holds(cal: DataFrame, day: dt.date) -> Column:
     """Scalar EXISTS: the date dimension has a row for ``day``.
 
@@ -72,22 +121,46 @@ def calendar_holds(cal: DataFrame, day: dt.date) -> Column:
     return cal.where(F.col("date_dt") == F.lit(day)).exists()
 
 
-def calendar_covers(df: DataFrame, cal: DataFrame, start_day: str, end_day: str) -> DataFrame:
-    """Rows whose ``[start_day, end_day]`` holds at least one calendar date.
+def next_calendar_day(cal: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """``(_day, _next_cal)`` for every day from the calendar's first to its
+    last date: the earliest calendar date on or after ``_day``.
 
-    For each distinct start day the next calendar date on or after it is
-    looked up (a join of two per-day tables, each bounded by the number of
-    days in the calendar), then rows are kept where that date is <= end.
-    The per-day table is what rows are joined to, so its size - not the
-    data's - decides broadcast.
+    Built from the date dimension alone, so its size is bounded by the
+    calendar's span in days — a proven bound that makes it safe to broadcast
+    whatever the size of the data joined to it.
+    """
+    cal_days = cal.select(F.to_date("date_dt").alias("_c")).where(F.col("_c").isNotNull()).distinct()
+    days = cal.sparkSession.range(1).select(
+        F.explode(F.sequence(F.lit(first), F.lit(last))).alias("_day"))
+    return (days.join(cal_days, F.col("_c") >= F.col("_day"))
+                .groupBy("_day").agg(F.min("_c").alias("_next_cal")))
+
+
+def calendar_cover_flag(df: DataFrame, cal: DataFrame, start_day: str, end_day: str,
+                        name: str = "_on_calendar",
+                        bounds: tuple[dt.date | None, dt.date | None] | None = None) -> DataFrame:
+    """Add boolean ``name``: ``[start_day, end_day]`` holds a calendar date
+    (``S JOIN dim_date ON date_dt BETWEEN start AND end`` as a row flag).
+
+    A start before the calendar's first date is covered iff the first date
+    is <= end; a start after its last date never is; otherwise the next
+    calendar date on or after the start must be <= end.
     """
-    days = df.select(F.col(start_day).alias("_d")).where(F.col("_d").isNotNull()).distinct()
-    cal_days = cal.select(F.to_date("date_dt").alias("_c")).distinct()
-    nxt = (days.join(cal_days, F.col("_c") >= F.col("_d"))
-           .groupBy("_d").agg(F.min("_c").alias("_next_cal")))
-    return (df.join(nxt, F.col(start_day) == F.col("_d"))
-              .where(F.col("_next_cal") <= F.col(end_day))
-              .drop("_d", "_next_cal"))
+    first, last = bounds if bounds is not None else calendar_facts(cal, dt.date.min)[:2]
+    if first is None:                       # empty calendar: nothing is covered
+        return df.withColumn(name, F.lit(False))
+    nxt = F.broadcast(next_calendar_day(cal, first, last))
+    joined = df.join(nxt, F.col(start_day) == F.col("_day"), "left")
+    covered = F.when(F.col(start_day) < F.lit(first), F.lit(first) <= F.col(end_day)) \
+               .otherwise(F.coalesce(F.col("_next_cal") <= F.col(end_day), F.lit(False)))
+    return joined.withColumn(name, covered).drop("_day", "_next_cal")
+
+
+def calendar_covers(df: DataFrame, cal: DataFrame, start_day: str, end_day: str,
+                    bounds=None) -> DataFrame:
+    """Rows whose ``[start_day, end_day]`` holds at least one calendar date."""
+    flagged = calendar_cover_flag(df, cal, start_day, end_day, "_on_calendar", bounds)
+    return flagged.where("_on_calendar").drop("_on_calendar")
 
 
 def _rows_at(df: DataFrame, keys: list[str], value: str, agg) -> DataFrame:

@@ -6,40 +6,79 @@ account key and each service is compared with the one before it.  Only the
 services starting on D with a paid method are classified, so the history is
 first cut down to the account keys that own such a service: the prior-row
 lookup touches those accounts only, not the whole base.
+
+Several variants (different subscriber and history product sets) run as one
+pass: each history row is tagged with the variants it belongs to and the
+prior-row lookup partitions by (variant, account key).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sublens.functions import domain as d
 from sublens.functions import predicates as P
-from sublens.operators import lag, setops
+from sublens.operators import lag
 from sublens.plans.cohorts import Cohorts
 
 TRANSITION_METHODS = (d.PAYMENT, d.PAYMENT_VOUCHER, d.UNKNOWN)
 _PRIOR_COLS = ["product_name", "activation_method", "service_status", "service_end_date"]
+VARIANT = "_variant"
 
 
-def transitions(co: Cohorts, sub_products, history_products, result_products) -> DataFrame:
-    """Target services (start on D, result product, paid method) with the
-    previous service's columns (``prior_*``) and ``days_ago``."""
-    sub = co.subscribers(sub_products)
-    history = setops.is_in(
-        co.svc.where(P.product_in(*history_products) & P.status_not_in(d.INACTIVE)),
-        "account_id", sub)
-    target: Column = (P.product_in(*result_products) & P.status_not_in(*d.NOT_CURRENT)
-                      & P.method_in(*TRANSITION_METHODS) & P.starts_on(co.D))
-    owners = history.where(target).select(F.col("dim_account_key").alias("_owner")).distinct()
-    history = history.join(owners, F.col("dim_account_key").eqNullSafe(F.col("_owner")),
-                           "left_semi")
-    with_prior = lag.prior_row(history, "dim_account_key", "dim_service_key", _PRIOR_COLS,
-                               bucket_width=co.ctx.lag_bucket_width)
-    return (with_prior.where(target)
+@dataclass(frozen=True)
+class Variant:
+    name: str
+    sub_products: tuple          # products of the current-subscriber base
+    history_products: tuple      # products of the history the lag runs over
+    result_products: tuple       # products of the classified services
+
+
+def _target(v: Variant, D) -> Column:
+    return (P.product_in(*v.result_products) & P.status_not_in(*d.NOT_CURRENT)
+            & P.method_in(*TRANSITION_METHODS) & P.starts_on(D))
+
+
+def transitions_multi(co: Cohorts, variants: list[Variant]) -> DataFrame:
+    """Target services of every variant with ``_variant``, the previous
+    service's columns (``prior_*``) and ``days_ago``."""
+    all_sub = sorted({p for v in variants for p in v.sub_products})
+    all_hist = sorted({p for v in variants for p in v.history_products})
+
+    # one scan: which variants' subscriber base each account is in
+    current = co.not_test(co.current(P.product_in(*all_sub), P.status_not_in(*d.NOT_CURRENT)))
+    bases = current.groupBy("account_id").agg(*[
+        F.max(P.product_in(*v.sub_products)).alias(f"_in_{v.name}") for v in variants])
+
+    history = (co.svc.where(P.product_in(*all_hist) & P.status_not_in(d.INACTIVE))
+               .join(bases, "account_id"))
+    tags = F.array(*[F.when(F.col(f"_in_{v.name}") & P.product_in(*v.history_products),
+                            F.lit(v.name)) for v in variants])
+    tagged = history.withColumn(VARIANT, F.explode(tags)).where(F.col(VARIANT).isNotNull())
+
+    is_target = F.lit(False)
+    for v in variants:
+        is_target = F.when(F.col(VARIANT) == v.name, _target(v, co.D)).otherwise(is_target)
+    owners = tagged.where(is_target).select(
+        F.col(VARIANT).alias("_ov"), F.col("dim_account_key").alias("_owner")).distinct()
+    tagged = tagged.join(owners, (F.col(VARIANT) == F.col("_ov"))
+                         & F.col("dim_account_key").eqNullSafe(F.col("_owner")), "left_semi")
+
+    with_prior = lag.prior_row(tagged, [VARIANT, "dim_account_key"], "dim_service_key",
+                               _PRIOR_COLS, bucket_width=co.ctx.lag_bucket_width)
+    return (with_prior.where(is_target)
             .withColumn("days_ago", P.day_diff("prior_service_end_date", "service_start_date")))
 
 
+def transitions(co: Cohorts, sub_products, history_products, result_products) -> DataFrame:
+    """One variant of :func:`transitions_multi`."""
+    v = Variant("v", tuple(sub_products), tuple(history_products), tuple(result_products))
+    return transitions_multi(co, [v])
+
+
 def signup() -> Column:
     return F.col("days_ago").isNull()
 
