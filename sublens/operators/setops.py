@@ -102,12 +102,13 @@ def is_in(df: DataFrame, col: str, lst: DataFrame, lst_col: str | None = None) -
     return df.join(_keys(lst, lst_col), F.col(col) == F.col(_K), "left_semi")
 
 
-def calendar_facts(cal: DataFrame, day: dt.date) -> tuple[dt.date | None, dt.date | None, bool]:
+def calendar_facts(cal: DataFrame, day: dt.date | None = None
+                   ) -> tuple[dt.date | None, dt.date | None, bool]:
     """(first date, last date, holds ``day``) of the date dimension: one
     one-row aggregate over a bounded dimension, read once per run."""
     c = F.to_date("date_dt")
-    row = cal.agg(F.min(c).alias("lo"), F.max(c).alias("hi"),
-                  F.max(c == F.lit(day)).alias("has")).first()
+    has = F.max(c == F.lit(day)) if day is not None else F.lit(False)
+    row = cal.agg(F.min(c).alias("lo"), F.max(c).alias("hi"), has.alias("has")).first()
     return row["lo"], row["hi"], bool(row["has"])
 
 
@@ -146,7 +147,7 @@ def calendar_cover_flag(df: DataFrame, cal: DataFrame, start_day: str, end_day:
     is <= end; a start after its last date never is; otherwise the next
     calendar date on or after the start must be <= end.
     """
-    first, last = bounds if bounds is not None else calendar_facts(cal, dt.date.min)[:2]
+    first, last = bounds if bounds is not None else calendar_facts(cal)[:2]
     if first is None:                       # empty calendar: nothing is covered
         return df.withColumn(name, F.lit(False))
     nxt = F.broadcast(next_calendar_day(cal, first, last))
