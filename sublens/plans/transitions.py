@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from sublens.functions import domain as d
 from sublens.functions import predicates as P
-from sublens.operators import lag
+from sublens.operators import lag, setops
 from sublens.plans.cohorts import Cohorts
 
 TRANSITION_METHODS = (d.PAYMENT, d.PAYMENT_VOUCHER, d.UNKNOWN)
@@ -44,28 +44,48 @@ def _target(v: Variant, D) -> Column:
 
 def transitions_multi(co: Cohorts, variants: list[Variant]) -> DataFrame:
     """Target services of every variant with ``_variant``, the previous
-    service's columns (``prior_*``) and ``days_ago``."""
+    service's columns (``prior_*``) and ``days_ago``.
+
+    Order of work, so that no step shuffles the whole service table:
+    1. target candidates — rows starting on D (a selective scan);
+    2. the subscriber bases, only for the candidates' accounts (the
+       candidate list is small and filters the scan map-side);
+    3. owners = (variant, account key) of the candidates that qualify;
+    4. history rows of the owners' account keys only, tagged by variant;
+    5. the prior-row lookup over that history.
+    """
     all_sub = sorted({p for v in variants for p in v.sub_products})
     all_hist = sorted({p for v in variants for p in v.history_products})
+    hist_rows = co.svc.where(P.product_in(*all_hist) & P.status_not_in(d.INACTIVE))
+
+    any_target = F.lit(False)
+    for v in variants:
+        any_target = any_target | _target(v, co.D)
+    candidates = hist_rows.where(any_target)
 
-    # one scan: which variants' subscriber base each account is in
     current = co.not_test(co.current(P.product_in(*all_sub), P.status_not_in(*d.NOT_CURRENT)))
+    current = setops.is_in(current, "account_id", candidates.select("account_id"))
     bases = current.groupBy("account_id").agg(*[
         F.max(P.product_in(*v.sub_products)).alias(f"_in_{v.name}") for v in variants])
 
-    history = (co.svc.where(P.product_in(*all_hist) & P.status_not_in(d.INACTIVE))
-               .join(bases, "account_id"))
-    tags = F.array(*[F.when(F.col(f"_in_{v.name}") & P.product_in(*v.history_products),
-                            F.lit(v.name)) for v in variants])
-    tagged = history.withColumn(VARIANT, F.explode(tags)).where(F.col(VARIANT).isNotNull())
+    def tag(df: DataFrame) -> DataFrame:
+        tags = F.array(*[F.when(F.col(f"_in_{v.name}") & P.product_in(*v.history_products),
+                                F.lit(v.name)) for v in variants])
+        return (df.join(bases, "account_id")
+                  .withColumn(VARIANT, F.explode(tags)).where(F.col(VARIANT).isNotNull()))
 
     is_target = F.lit(False)
     for v in variants:
         is_target = F.when(F.col(VARIANT) == v.name, _target(v, co.D)).otherwise(is_target)
-    owners = tagged.where(is_target).select(
+    owners = tag(candidates).where(is_target).select(
         F.col(VARIANT).alias("_ov"), F.col("dim_account_key").alias("_owner")).distinct()
-    tagged = tagged.join(owners, (F.col(VARIANT) == F.col("_ov"))
-                         & F.col("dim_account_key").eqNullSafe(F.col("_owner")), "left_semi")
+
+    owner_keys = owners.select(F.col("_owner").alias("_okey")).distinct()
+    history = hist_rows.join(owner_keys, F.col("dim_account_key").eqNullSafe(F.col("_okey")),
+                             "left_semi")
+    tagged = tag(history).join(owners, (F.col(VARIANT) == F.col("_ov"))
+                               & F.col("dim_account_key").eqNullSafe(F.col("_owner")),
+                               "left_semi")
 
     with_prior = lag.prior_row(tagged, [VARIANT, "dim_account_key"], "dim_service_key",
                                _PRIOR_COLS, bucket_width=co.ctx.lag_bucket_width)
