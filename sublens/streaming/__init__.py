@@ -1 +1,7 @@
+"""No streaming operators.
 
+The original report is a daily batch statement: no streams, watermarks,
+windows over event time or state occur in it, so nothing here is built for
+parity.  A daily run is ``plans.report.daily_report`` followed by
+``sources.sink.write_report``; scheduling it is left to the platform.
+"""
