@@ -34,12 +34,17 @@ def dcb_firsts(co: Cohorts) -> DataFrame:
 def unattributed_accounts(co: Cohorts) -> DataFrame:
     """Accounts counted by measure 15 (``account_id``)."""
     ctx = co.ctx
-    per_account = dcb_firsts(co).groupBy("account_id").agg(
+    # only accounts with a coupon whose first DCB start is D can be counted:
+    # keep those before touching the rest of the service table (a small list,
+    # so the joins below filter the scans map-side instead of shuffling them)
+    per_account = (dcb_firsts(co).groupBy("account_id").agg(
         F.max(P.day("dcb_date")).alias("_last_dcb_day"),
         F.max(P.day("dcb_date") == F.lit(co.D)).alias("_first_dcb_on_d"))
+        .where("_first_dcb_on_d"))
+    per_account = co.stage(per_account)
 
     not_prod1 = ~F.col("coupon_code").isin(d.DCB_EXCLUDED_PRIOR_COUPON)
-    prior_pool = co.svc.where(not_prod1 & P.svod()
+    prior_pool = co.history.where(not_prod1 & P.svod()
                               & ~F.col("activation_method").isin(d.INACTIVE))
     bounds = (prior_pool.join(per_account.withColumnRenamed("account_id", "_a"),
                               (F.col("account_id") == F.col("_a"))
@@ -49,7 +54,7 @@ def unattributed_accounts(co: Cohorts) -> DataFrame:
                    F.min("service_start_date").alias("_activation")))
 
     # every service row at the account's last prior end ("service" CTE)
-    at_last_end = co.svc.where(not_prod1 & P.svod()).join(
+    at_last_end = co.history.where(not_prod1 & P.svod()).join(
         bounds.withColumnRenamed("account_id", "_a"),
         (F.col("account_id") == F.col("_a")) & (F.col("service_end_date") == F.col("_last_end")))
     period = P.day_diff("service_start_date", "service_end_date")

@@ -293,8 +293,24 @@ def _sql_str(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
+def horizon_slice(src: Sources, ctx: ReportContext) -> DataFrame:
+    """Service rows whose start, end or commence day is on or after the
+    earliest day any day-relative predicate of the report compares with
+    (T - 7).  The condition is also stated on the raw timestamps so the
+    Parquet reader can skip row groups."""
+    first = min(ctx.short_window[0], ctx.suspended_end, ctx.report_date)
+    bound = F.lit(first).cast("timestamp_ntz")
+    raw = ((F.col("service_end_date") >= bound) | (F.col("service_start_date") >= bound)
+           | (F.col("service_commence_date") >= bound))
+    days = ((F.to_date("service_end_date") >= F.lit(first))
+            | (F.to_date("service_start_date") >= F.lit(first))
+            | (F.to_date("service_commence_date") >= F.lit(first)))
+    return src.dim_service.where(raw & days)
+
+
 def fused_report(src: Sources, ctx: ReportContext) -> DataFrame:
-    co = Cohorts(src, ctx)
+    base = Cohorts(src, ctx, staged=True)
+    co = Cohorts(src, ctx, service_rows=base.stage(horizon_slice(src, ctx)), staged=True)
     D = co.D
     acct = account_masks(co)
 
@@ -341,9 +357,18 @@ def fused_report(src: Sources, ctx: ReportContext) -> DataFrame:
     key_viewers = vbits.where("e_ged")
     m25 = result_row(key_viewers, F.count_distinct("dim_account_key"), 25, D, True)
 
-    hours = (vd.where(F.col("day") >= F.lit(D)).groupBy("day")
+    # per-day hours over every day read; the `day >= D` condition is applied in
+    # the final aggregate, not as a filter (a filter on the grouping key would be
+    # pushed below `vd`'s aggregate and stop the exchange from being reused)
+    daily = (vd.groupBy("day")
                .agg(F.expr(f"sum(seconds) div {ctx.seconds_per_hour}").alias("hours")))
-    m24 = result_row(hours, F.sum("hours"), 24, D, True)
+    on_or_after_d = F.col("day") >= F.lit(D)
+    m24 = (daily.agg(F.sum(F.when(on_or_after_d, F.col("hours"))).alias("value"),
+                     F.max(on_or_after_d).alias("emit"))
+                .where(F.coalesce(F.col("emit"), F.lit(False)))
+                .select(F.lit(D).alias("date"), F.lit(24).alias("order"),
+                        F.lit(d.MEASURE_NAMES[24]).alias("measure"),
+                        F.col("value").cast("bigint").alias("value")))
 
     pending = co.not_test(co.svc.where(P.product_in(d.ANNUAL, d.BASIC)
                                        & (F.col(P.SD) >= F.lit(co.T))))

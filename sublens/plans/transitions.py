@@ -56,17 +56,17 @@ def transitions_multi(co: Cohorts, variants: list[Variant]) -> DataFrame:
     """
     all_sub = sorted({p for v in variants for p in v.sub_products})
     all_hist = sorted({p for v in variants for p in v.history_products})
-    hist_rows = co.svc.where(P.product_in(*all_hist) & P.status_not_in(d.INACTIVE))
+    in_history = P.product_in(*all_hist) & P.status_not_in(d.INACTIVE)
 
     any_target = F.lit(False)
     for v in variants:
         any_target = any_target | _target(v, co.D)
-    candidates = hist_rows.where(any_target)
+    candidates = co.stage(co.svc.where(in_history & any_target))
 
     current = co.not_test(co.current(P.product_in(*all_sub), P.status_not_in(*d.NOT_CURRENT)))
     current = setops.is_in(current, "account_id", candidates.select("account_id"))
-    bases = current.groupBy("account_id").agg(*[
-        F.max(P.product_in(*v.sub_products)).alias(f"_in_{v.name}") for v in variants])
+    bases = co.stage(current.groupBy("account_id").agg(*[
+        F.max(P.product_in(*v.sub_products)).alias(f"_in_{v.name}") for v in variants]))
 
     def tag(df: DataFrame) -> DataFrame:
         tags = F.array(*[F.when(F.col(f"_in_{v.name}") & P.product_in(*v.history_products),
@@ -77,15 +77,15 @@ def transitions_multi(co: Cohorts, variants: list[Variant]) -> DataFrame:
     is_target = F.lit(False)
     for v in variants:
         is_target = F.when(F.col(VARIANT) == v.name, _target(v, co.D)).otherwise(is_target)
-    owners = tag(candidates).where(is_target).select(
-        F.col(VARIANT).alias("_ov"), F.col("dim_account_key").alias("_owner")).distinct()
+    owners = co.stage(tag(candidates).where(is_target).select(
+        F.col(VARIANT).alias("_ov"), F.col("dim_account_key").alias("_owner")).distinct())
 
     owner_keys = owners.select(F.col("_owner").alias("_okey")).distinct()
-    history = hist_rows.join(owner_keys, F.col("dim_account_key").eqNullSafe(F.col("_okey")),
-                             "left_semi")
-    tagged = tag(history).join(owners, (F.col(VARIANT) == F.col("_ov"))
-                               & F.col("dim_account_key").eqNullSafe(F.col("_owner")),
-                               "left_semi")
+    history = co.history.where(in_history).join(
+        owner_keys, F.col("dim_account_key").eqNullSafe(F.col("_okey")), "left_semi")
+    tagged = co.stage(tag(history).join(owners, (F.col(VARIANT) == F.col("_ov"))
+                                        & F.col("dim_account_key").eqNullSafe(F.col("_owner")),
+                                        "left_semi"))
 
     with_prior = lag.prior_row(tagged, [VARIANT, "dim_account_key"], "dim_service_key",
                                _PRIOR_COLS, bucket_width=co.ctx.lag_bucket_width)
