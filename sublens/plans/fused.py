@@ -314,7 +314,7 @@ def fused_report(src: Sources, ctx: ReportContext) -> DataFrame:
     D = co.D
     acct = account_masks(co)
 
-    vd = viewer_days(co)
+    vd = co.stage(viewer_days(co))       # events are read once, whatever uses them
     vbits = viewer_bits(co, vd)
     keyed = vbits.where(F.col("e_d") | F.col("e_l7") | F.col("e_l30")).join(
         src.dim_account.select("dim_account_key", ACCOUNT), "dim_account_key")
