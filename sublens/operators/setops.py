@@ -128,13 +128,27 @@ def next_calendar_day(cal: DataFrame, first: dt.date, last: dt.date) -> DataFram
 
     Built from the date dimension alone, so its size is bounded by the
     calendar's span in days — a proven bound that makes it safe to broadcast
-    whatever the size of the data joined to it.
+    whatever the size of the data joined to it.  Work is linear in the span:
+    an equi-join on the month finds the next date inside the day's month, and
+    a table of months (twelve rows a year) gives the first date of the next
+    month that has one.
     """
-    cal_days = cal.select(F.to_date("date_dt").alias("_c")).where(F.col("_c").isNotNull()).distinct()
-    days = cal.sparkSession.range(1).select(
-        F.explode(F.sequence(F.lit(first), F.lit(last))).alias("_day"))
-    return (days.join(cal_days, F.col("_c") >= F.col("_day"))
-                .groupBy("_day").agg(F.min("_c").alias("_next_cal")))
+    cal_days = (cal.select(F.to_date("date_dt").alias("_c")).where(F.col("_c").isNotNull())
+                .distinct().withColumn("_cm", F.trunc("_c", "month")))
+    days = (cal.sparkSession.range(1)
+            .select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("_day"))
+            .withColumn("_dm", F.trunc("_day", "month")))
+    same_month = (days.join(cal_days, (F.col("_cm") == F.col("_dm")) & (F.col("_c") >= F.col("_day")))
+                  .groupBy("_day").agg(F.min("_c").alias("_in_month")))
+    months = cal_days.groupBy("_cm").agg(F.min("_c").alias("_month_first"))
+    later = months.select(F.col("_cm").alias("_later_m"), "_month_first")
+    month_list = months.select(F.col("_cm").alias("_m"))
+    # first calendar date of a later month, per month of the span (months x months)
+    next_month = (month_list.join(later, F.col("_later_m") > F.col("_m"))
+                  .groupBy("_m").agg(F.min("_month_first").alias("_after_month")))
+    return (days.join(same_month, "_day", "left")
+                .join(next_month, F.col("_dm") == F.col("_m"), "left")
+                .select("_day", F.coalesce("_in_month", "_after_month").alias("_next_cal")))
 
 
 def calendar_cover_flag(df: DataFrame, cal: DataFrame, start_day: str, end_day: str,

@@ -41,7 +41,6 @@ def unattributed_accounts(co: Cohorts) -> DataFrame:
         F.max(P.day("dcb_date")).alias("_last_dcb_day"),
         F.max(P.day("dcb_date") == F.lit(co.D)).alias("_first_dcb_on_d"))
         .where("_first_dcb_on_d"))
-    per_account = co.stage(per_account)
 
     not_prod1 = ~F.col("coupon_code").isin(d.DCB_EXCLUDED_PRIOR_COUPON)
     prior_pool = co.history.where(not_prod1 & P.svod()

@@ -61,12 +61,12 @@ def transitions_multi(co: Cohorts, variants: list[Variant]) -> DataFrame:
     any_target = F.lit(False)
     for v in variants:
         any_target = any_target | _target(v, co.D)
-    candidates = co.stage(co.svc.where(in_history & any_target))
+    candidates = co.svc.where(in_history & any_target)
 
     current = co.not_test(co.current(P.product_in(*all_sub), P.status_not_in(*d.NOT_CURRENT)))
     current = setops.is_in(current, "account_id", candidates.select("account_id"))
-    bases = co.stage(current.groupBy("account_id").agg(*[
-        F.max(P.product_in(*v.sub_products)).alias(f"_in_{v.name}") for v in variants]))
+    bases = current.groupBy("account_id").agg(*[
+        F.max(P.product_in(*v.sub_products)).alias(f"_in_{v.name}") for v in variants])
 
     def tag(df: DataFrame) -> DataFrame:
         tags = F.array(*[F.when(F.col(f"_in_{v.name}") & P.product_in(*v.history_products),
@@ -77,12 +77,14 @@ def transitions_multi(co: Cohorts, variants: list[Variant]) -> DataFrame:
     is_target = F.lit(False)
     for v in variants:
         is_target = F.when(F.col(VARIANT) == v.name, _target(v, co.D)).otherwise(is_target)
-    owners = co.stage(tag(candidates).where(is_target).select(
-        F.col(VARIANT).alias("_ov"), F.col("dim_account_key").alias("_owner")).distinct())
+    owners = tag(candidates).where(is_target).select(
+        F.col(VARIANT).alias("_ov"), F.col("dim_account_key").alias("_owner")).distinct()
 
     owner_keys = owners.select(F.col("_owner").alias("_okey")).distinct()
     history = co.history.where(in_history).join(
         owner_keys, F.col("dim_account_key").eqNullSafe(F.col("_okey")), "left_semi")
+    # staged: the prior-row lookup reads it twice, and it comes from a scan of
+    # the whole table (behind the owner-key semi-join)
     tagged = co.stage(tag(history).join(owners, (F.col(VARIANT) == F.col("_ov"))
                                         & F.col("dim_account_key").eqNullSafe(F.col("_owner")),
                                         "left_semi"))
