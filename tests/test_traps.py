@@ -267,3 +267,28 @@ def test_random_worlds_all_three_agree(spark, seed):
         w.vip_promo(rnd.randint(1, 60), name=rnd.choice(["VIP", "SKY Employee Perk", "OTHER"]))
     got = check(spark, w, orders=[2, 3, 12, 15, 19, 22])
     assert sum(got.values()) > 0
+
+
+def test_hot_account_world(spark):
+    """One account holds ~40% of all rows (many same-day starts, DCB coupons,
+    plays); lag ranges are tiny so the hot partition spans many of them."""
+    import random
+    rnd = random.Random(5)
+    ctx = ReportContext(today=T, lag_bucket_width=4)
+    w = World()
+    products = ["Standard", "Premium", "Annual", "Basic"]
+    methods = ["FREE TRIAL", "PAYMENT", "PAYMENT_VOUCHER", "UNKNOWN", "VOUCHER"]
+    statuses = ["ACTIVE", "EXPIRED", "FINAL BILL", "HOLDONNPMT"]
+    coupons = [None, "SparkDCBProd1", "SparkDCBProd2", "PROMO"]
+    for i in range(500):
+        acct = 1 if i % 5 < 2 else rnd.randint(2, 80)
+        start = D + dt.timedelta(days=rnd.choice([0, 0, -1, -3, -20, -40, 5]))
+        end = start + dt.timedelta(days=rnd.randint(-1, 30))
+        w.service(acct, start, end, product=rnd.choice(products), method=rnd.choice(methods),
+                  status=rnd.choice(statuses), coupon=rnd.choice(coupons))
+    for _ in range(400):
+        w.play(1 if rnd.random() < 0.4 else rnd.randint(2, 80),
+               D - dt.timedelta(days=rnd.randint(0, 30), minutes=rnd.randint(0, 600)),
+               rnd.randint(0, 3000), content=rnd.randint(1, 4))
+    got = check(spark, w, ctx, orders=[3, 15, 18, 41, 22])
+    assert sum(got.values()) > 0
