@@ -1,4 +1,3 @@
-import os
 from dataclasses import fields
 
 from sublens.plans import fused
