@@ -53,6 +53,15 @@ def with_days(svc):
     })
 
 
+def active_on_raw(d: dt.date) -> Column:
+    """``active_on(d)`` restated on the raw timestamps (start before the next
+    midnight, end at or after midnight of ``d``): the same rows, but in a form
+    the Parquet reader can use to skip row groups."""
+    nxt = F.lit(d + dt.timedelta(days=1)).cast("timestamp_ntz")
+    return ((F.col("service_start_date") < nxt)
+            & (F.col("service_end_date") >= F.lit(d).cast("timestamp_ntz")))
+
+
 # -- service predicates (need `with_days`) ------------------------------------
 def active_on(d: dt.date) -> Column:
     """start <= d <= end (both ends inclusive, as days)."""

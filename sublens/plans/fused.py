@@ -75,10 +75,6 @@ def _mask_of(flags: dict[str, Column]) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), terms)
 
 
-def _has(name: str) -> Column:
-    return F.col(MASK).bitwiseAND(_bit(name)) != 0
-
-
 # -- 1. row bits ------------------------------------------------------------------
 def _row_flags(co: Cohorts, calendar_any: str) -> dict[str, Column]:
     ctx, D, T = co.ctx, co.D, co.T
