@@ -144,7 +144,7 @@ def test_s9_hours_truncate_per_day_and_have_no_upper_bound(spark):
     w.play(1, f"{D} 10:00:00", 5400)
     w.play(1, f"{T} 10:00:00", 5400)
     w.play(2, f"{T} 11:00:00", 5399, content=3)        # FEATURE without the label: ignored
-    w.play(2, f"{D} 11:00:00", 100, content=2)         # FEATURE with 'NEON' label
+    w.play(2, f"{D} 11:00:00", 100, content=2)         # FEATURE whose label holds the token (other case)
     got = check(spark, w, orders=[24, 25])
     assert got[24] == 2            # 1 + 1, not 10900 // 3600 = 3
     assert got[25] == 2
