@@ -31,17 +31,22 @@ def dcb_firsts(co: Cohorts) -> DataFrame:
         F.min("service_start_date").alias("dcb_date"))
 
 
-def unattributed_accounts(co: Cohorts) -> DataFrame:
-    """Accounts counted by measure 15 (``account_id``)."""
-    ctx = co.ctx
-    # only accounts with a coupon whose first DCB start is D can be counted:
-    # keep those before touching the rest of the service table (a small list,
-    # so the joins below filter the scans map-side instead of shuffling them)
-    per_account = (dcb_firsts(co).groupBy("account_id").agg(
+def candidates(co: Cohorts) -> DataFrame:
+    """Accounts with a coupon whose first DCB start is D — the only ones that
+    can be counted — with the last first-DCB day over all their coupons.  A
+    small list: the joins with the service history filter the scan map-side
+    instead of shuffling it."""
+    return (dcb_firsts(co).groupBy("account_id").agg(
         F.max(P.day("dcb_date")).alias("_last_dcb_day"),
         F.max(P.day("dcb_date") == F.lit(co.D)).alias("_first_dcb_on_d"))
         .where("_first_dcb_on_d"))
 
+
+def unattributed_accounts(co: Cohorts) -> DataFrame:
+    """Accounts counted by measure 15 (``account_id``)."""
+    ctx = co.ctx
+    per_account = candidates(co)
+
     not_prod1 = ~F.col("coupon_code").isin(d.DCB_EXCLUDED_PRIOR_COUPON)
     prior_pool = co.history.where(not_prod1 & P.svod()
                               & ~F.col("activation_method").isin(d.INACTIVE))

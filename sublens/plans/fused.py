@@ -139,6 +139,31 @@ def _row_flags(co: Cohorts, calendar_any: str) -> dict[str, Column]:
     }
 
 
+VARIANTS = [
+    transitions.Variant("month", d.MONTHLY, d.MONTHLY, d.MONTHLY),
+    transitions.Variant("spa", (d.STANDARD, d.PREMIUM, d.ANNUAL), d.ALL_PRODUCTS, (d.ANNUAL,)),
+    transitions.Variant("all", d.ALL_PRODUCTS, d.ALL_PRODUCTS, (d.ANNUAL, d.BASIC)),
+]
+
+
+def keyed_history(co: Cohorts) -> DataFrame:
+    """Every service row of the account keys / account ids whose whole past a
+    consumer reads: the transitions' owners and the campaign candidates (by
+    account key), the attribution candidates (by account id).  The key sets
+    come from the day's slice and are small, so the one scan of the table
+    is filtered map-side; each consumer then applies its own key set."""
+    keys = (transitions.owner_keys(co, VARIANTS)
+            .unionByName(co.campaign_candidates().select("dim_account_key"))
+            .distinct().select(F.col("dim_account_key").alias("_hk"), F.lit(True).alias("_khit")))
+    accounts = (attribution.candidates(co).select(F.col(ACCOUNT).alias("_ha"))
+                .distinct().withColumn("_ahit", F.lit(True)))
+    rows = co.src.dim_service
+    return (rows.join(keys, F.col("dim_account_key").eqNullSafe(F.col("_hk")), "left")
+                .join(accounts, F.col(ACCOUNT) == F.col("_ha"), "left")
+                .where(F.col("_khit").isNotNull() | F.col("_ahit").isNotNull())
+                .select(*rows.columns))
+
+
 def _list_stream(df: DataFrame, bit: str, col: str = ACCOUNT) -> DataFrame:
     return df.select(F.col(col).alias(ACCOUNT), _bit(bit).alias(MASK))
 
@@ -155,11 +180,7 @@ def account_masks(co: Cohorts) -> DataFrame:
         P.product_in(*d.MONTHLY), P.status_not_in(*d.NOT_CURRENT),
         P.method_not_in(*d.NON_PAYING_METHODS)))
 
-    moves = transitions.transitions_multi(co, [
-        transitions.Variant("month", d.MONTHLY, d.MONTHLY, d.MONTHLY),
-        transitions.Variant("spa", (d.STANDARD, d.PREMIUM, d.ANNUAL), d.ALL_PRODUCTS, (d.ANNUAL,)),
-        transitions.Variant("all", d.ALL_PRODUCTS, d.ALL_PRODUCTS, (d.ANNUAL, d.BASIC)),
-    ])
+    moves = transitions.transitions_multi(co, VARIANTS)
     variant = F.col(transitions.VARIANT)
     is_annual = (variant == "all") & (F.col("product_name") == d.ANNUAL)
     is_basic = (variant == "all") & (F.col("product_name") == d.BASIC)
@@ -306,7 +327,9 @@ def horizon_slice(src: Sources, ctx: ReportContext) -> DataFrame:
 
 def fused_report(src: Sources, ctx: ReportContext) -> DataFrame:
     base = Cohorts(src, ctx, staged=True)
+    # pass 1: the day slice; pass 2: the keyed history (both checkpointed)
     co = Cohorts(src, ctx, service_rows=base.stage(horizon_slice(src, ctx)), staged=True)
+    co.use_history(co.stage(keyed_history(co)))
     D = co.D
     acct = account_masks(co)
 

@@ -54,6 +54,30 @@ def transitions_multi(co: Cohorts, variants: list[Variant]) -> DataFrame:
     4. history rows of the owners' account keys only, tagged by variant;
     5. the prior-row lookup over that history.
     """
+    in_history, is_target, tag, owners = _owners(co, variants)
+
+    owner_keys = owners.select(F.col("_owner").alias("_okey")).distinct()
+    history = co.history.where(in_history).join(
+        owner_keys, F.col("dim_account_key").eqNullSafe(F.col("_okey")), "left_semi")
+    # staged: the prior-row lookup reads it twice, and it comes from the history
+    tagged = co.stage(tag(history).join(owners, (F.col(VARIANT) == F.col("_ov"))
+                                        & F.col("dim_account_key").eqNullSafe(F.col("_owner")),
+                                        "left_semi"))
+
+    with_prior = lag.prior_row(tagged, [VARIANT, "dim_account_key"], "dim_service_key",
+                               _PRIOR_COLS, bucket_width=co.ctx.lag_bucket_width)
+    return (with_prior.where(is_target)
+            .withColumn("days_ago", P.day_diff("prior_service_end_date", "service_start_date")))
+
+
+def owner_keys(co: Cohorts, variants: list[Variant]) -> DataFrame:
+    """Account keys (``dim_account_key``) whose history some variant reads."""
+    return _owners(co, variants)[3].select(F.col("_owner").alias("dim_account_key")).distinct()
+
+
+def _owners(co: Cohorts, variants: list[Variant]):
+    """Steps 1-3: the history filter, the per-variant target test, the tagger
+    and the owners ``(_ov, _owner)`` — all from the day's service rows."""
     all_sub = sorted({p for v in variants for p in v.sub_products})
     all_hist = sorted({p for v in variants for p in v.history_products})
     in_history = P.product_in(*all_hist) & P.status_not_in(d.INACTIVE)
@@ -79,20 +103,7 @@ def transitions_multi(co: Cohorts, variants: list[Variant]) -> DataFrame:
         is_target = F.when(F.col(VARIANT) == v.name, _target(v, co.D)).otherwise(is_target)
     owners = tag(candidates).where(is_target).select(
         F.col(VARIANT).alias("_ov"), F.col("dim_account_key").alias("_owner")).distinct()
-
-    owner_keys = owners.select(F.col("_owner").alias("_okey")).distinct()
-    history = co.history.where(in_history).join(
-        owner_keys, F.col("dim_account_key").eqNullSafe(F.col("_okey")), "left_semi")
-    # staged: the prior-row lookup reads it twice, and it comes from a scan of
-    # the whole table (behind the owner-key semi-join)
-    tagged = co.stage(tag(history).join(owners, (F.col(VARIANT) == F.col("_ov"))
-                                        & F.col("dim_account_key").eqNullSafe(F.col("_owner")),
-                                        "left_semi"))
-
-    with_prior = lag.prior_row(tagged, [VARIANT, "dim_account_key"], "dim_service_key",
-                               _PRIOR_COLS, bucket_width=co.ctx.lag_bucket_width)
-    return (with_prior.where(is_target)
-            .withColumn("days_ago", P.day_diff("prior_service_end_date", "service_start_date")))
+    return in_history, is_target, tag, owners
 
 
 def transitions(co: Cohorts, sub_products, history_products, result_products) -> DataFrame:
