@@ -59,10 +59,9 @@ def transitions_multi(co: Cohorts, variants: list[Variant]) -> DataFrame:
     owner_keys = owners.select(F.col("_owner").alias("_okey")).distinct()
     history = co.history.where(in_history).join(
         owner_keys, F.col("dim_account_key").eqNullSafe(F.col("_okey")), "left_semi")
-    # staged: the prior-row lookup reads it twice, and it comes from the history
-    tagged = co.stage(tag(history).join(owners, (F.col(VARIANT) == F.col("_ov"))
-                                        & F.col("dim_account_key").eqNullSafe(F.col("_owner")),
-                                        "left_semi"))
+    tagged = tag(history).join(owners, (F.col(VARIANT) == F.col("_ov"))
+                               & F.col("dim_account_key").eqNullSafe(F.col("_owner")),
+                               "left_semi")
 
     with_prior = lag.prior_row(tagged, [VARIANT, "dim_account_key"], "dim_service_key",
                                _PRIOR_COLS, bucket_width=co.ctx.lag_bucket_width)
