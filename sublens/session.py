@@ -32,11 +32,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster, or (tests only,
-    when unset) a fresh scratch folder."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder named by the cluster in
+    ``spark.checkpoint.dir``.  Only a local-mode session (tests, the bench)
+    without one gets a fresh scratch folder; on a cluster an unset folder is
+    an error, never a machine-local directory."""
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3): "
+                               "the fused report checkpoints its intermediate results there")
         d = tempfile.mkdtemp(prefix="sublens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
