@@ -80,17 +80,6 @@ def not_in(df: DataFrame, col: str, lst: DataFrame, lst_col: str | None = None,
     return kept.where(~nonempty | (~has_null & F.col(col).isNotNull()))
 
 
-def not_in_flag(col: str | Column, facts: ListFacts, member: Column) -> Column:
-    """Value of ``col NOT IN (list)`` given ``member`` = "col equals some
-    non-NULL list value" (e.g. a bit computed by a join or an aggregate)."""
-    c = F.col(col) if isinstance(col, str) else col
-    if not facts.nonempty:
-        return F.lit(True)
-    if facts.has_null:
-        return F.lit(False)
-    return c.isNotNull() & ~member
-
-
 def not_in_values(col: str, values) -> Column:
     """SQL ``col NOT IN (literal, ...)``: NULL ``col`` is dropped."""
     return ~F.col(col).isin(*values)
