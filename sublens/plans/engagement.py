@@ -1,4 +1,5 @@
-"""playback measures (13, 21-25, 32, 37).
+"""playback measures (13, 21-25, 32, 37), one plan each (the fused
+report reads playback through ``fused.viewer_days`` instead).
 
 Counting distinct viewers only needs the *set* of viewer keys, so the fact is
 reduced to distinct ``dim_account_key`` (partially aggregated map-side)

@@ -1,22 +1,33 @@
-"""The whole report in one pass per source table.
+"""The whole report with two passes over the service table.
 
 The original evaluates 49 independent branches and re-reads the service
-table 71 times.  Every measure there is ``COUNT(DISTINCT account)`` over
-rows that satisfy a predicate, possibly AND-ed with account-level tests
-(test / VIP exclusion, membership of another cohort).  Because "some row of
-the account satisfies p or q" is "some row satisfies p" or "some row
-satisfies q", all of them can be answered from one bit mask per account:
-
-1. one scan of ``dim_service`` sets a bit per row predicate; rows with no
-   bit set are dropped before the shuffle;
+table 71 times.  Here:
+
+* pass 1 (``horizon_slice``): every day-relative predicate of the report
+  implies a start, end or commence day on or after T - 7, so one scan keeps
+  those rows (pushed to Parquet as raw timestamp ranges) and checkpoints
+  them; all cohorts and the measure pass below read this slice;
+* pass 2 (``keyed_history``): the consumers that need an account's whole
+  past (transitions, attribution, the campaign's first commence) get one
+  scan of the table filtered map-side by their small key sets, checkpointed.
+
+Every measure of the original is ``COUNT(DISTINCT account)`` over rows that
+satisfy a predicate, possibly AND-ed with account-level tests (test / VIP
+exclusion, membership of another cohort).  Because "some row of the account
+satisfies p or q" is "some row satisfies p" or "some row satisfies q", all
+of them are answered from one bit mask per account:
+
+1. one pass over the slice sets a bit per row predicate; rows with no bit
+   set are dropped before the shuffle;
 2. small account lists (test, VIP, physical VIP, the campaign cohort, the
    current direct base that has an account row, the transition and
    attribution results) are unioned into the same stream, one bit each;
 3. one ``groupBy(account_id)`` with ``bit_or`` — a partially aggregated
    (map-side combined) shuffle of one long per account and map task, so a
    hot account costs no more than any other;
-4. playback is reduced to one row per viewer key with a few bits, joined to
-   accounts and then to the per-account service bits;
+4. playback is read once into a checkpointed viewer-day table, reduced to one
+   row per viewer key with a few bits, joined to accounts and then to the
+   per-account service bits;
 5. a single global aggregation counts every measure; the null-aware
    ``NOT IN`` semantics enter through the lists' one-row facts (empty? holds
    a NULL?), read once per run.
