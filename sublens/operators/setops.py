@@ -72,8 +72,10 @@ def not_in(df: DataFrame, col: str, lst: DataFrame, lst_col: str | None = None,
             return df
         if facts.has_null:
             return df.where(F.lit(False))
-        kept = df.join(_keys(lst, lst_col), F.col(col) == F.col(_K), "left_anti")
-        return kept.where(F.col(col).isNotNull())
+        # NULL keys can never be kept here: drop them before the join, so a
+        # NULL-heavy key never becomes one skewed join partition
+        return df.where(F.col(col).isNotNull()).join(
+            _keys(lst, lst_col), F.col(col) == F.col(_K), "left_anti")
     nonempty = lst.exists()
     has_null = lst.where(F.col(lst_col).isNull()).exists()
     kept = df.join(_keys(lst, lst_col), F.col(col) == F.col(_K), "left_anti")
