@@ -18,7 +18,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from sublens.context import ReportContext
+from sublens.context import ReportContext, parse_date
 from sublens.plans.report import daily_report
 from sublens.sources import fixtures
 from sublens.sources.sink import write_report
@@ -34,7 +34,7 @@ def main(argv=None) -> None:
     ap.add_argument("--driver-tables", action="store_true")
     args = ap.parse_args(argv)
 
-    today = dt.date.fromisoformat(args.today) if args.today else dt.date.today()
+    today = parse_date(args.today) if args.today else dt.date.today()
     spark = SparkSession.builder.appName("sublens").getOrCreate()
     if args.driver_tables:
         src, ctx = fixtures.load(spark, args.sources), fixtures.fixture_context(today)
