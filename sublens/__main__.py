@@ -1,7 +1,7 @@
 """Run the daily report.
 
     python -m sublens --sources /data/report_inputs --today 2024-01-31 \\
-        [--plan fused|per_measure] [--out /data/daily_report]
+        [--plan fused|per_measure|sql] [--out /data/daily_report]
 
 ``--sources`` is a folder with one Parquet table per input (``dim_service``,
 ``dim_date``, ``dim_account``, ``dim_content``, ``fact_engagement``,
@@ -29,7 +29,7 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="sublens", description=__doc__.split("\n")[0])
     ap.add_argument("--sources", required=True)
     ap.add_argument("--today", default=None, help="T; the report describes T - 1 (default: today)")
-    ap.add_argument("--plan", choices=["fused", "per_measure"], default="fused")
+    ap.add_argument("--plan", choices=["fused", "per_measure", "sql"], default="fused")
     ap.add_argument("--out", default=None)
     ap.add_argument("--driver-tables", action="store_true")
     args = ap.parse_args(argv)
