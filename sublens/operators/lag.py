@@ -5,9 +5,9 @@ account holding a third of all rows would be sorted by a single core.  Here
 the window runs per ``(p, k >> bits)`` — contiguous ranges of the ordering
 key, so no window partition holds more than ``2**bits`` rows (keys are
 unique surrogate keys) — and the first row of each range takes the last row
-of the nearest earlier non-empty range of the same ``p``.  Those range
-summaries are one row per (p, range), built with a partially aggregated
-``max_by``; a second, much smaller window links consecutive ranges.
+of the nearest earlier non-empty range of the same ``p``.  Each range's last
+row (the one with no successor in its window) summarises it; a second, much
+smaller window over those summaries links consecutive ranges.
 
 The result equals the single window exactly (ties in ``k`` aside, where SQL
 itself is non-deterministic).
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 _B = "_lag_range"
 _PREV = "_lag_prev_key"
+_NEXT = "_lag_next_key"
 _LAST = "_lag_last"
 _PLAST = "_lag_prev_last"
 
@@ -36,11 +37,13 @@ def prior_row(df: DataFrame, partition: str | list[str], order: str, cols: list[
     local = ranged.select(
         "*",
         F.lag(order).over(w_in).alias(_PREV),
+        F.lead(order).over(w_in).alias(_NEXT),
         *[F.lag(c).over(w_in).alias(f"{prefix}{c}") for c in cols],
     )
 
-    last_of_range = ranged.groupBy(*parts, _B).agg(
-        F.max_by(F.struct(*cols), F.col(order)).alias(_LAST))
+    # the last row of each range (no row after it) summarises the range
+    last_of_range = local.where(F.col(_NEXT).isNull()).select(
+        *parts, _B, F.struct(*cols).alias(_LAST))
     w_ranges = Window.partitionBy(*parts).orderBy(_B)
     carry = last_of_range.select(
         *[F.col(p).alias(f"_lag_p{i}") for i, p in enumerate(parts)],
