@@ -23,6 +23,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         # checkpoints of finished reports are removed once unreferenced
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", os.environ.get("SUBLENS_DRIVER_MEMORY", "8g")))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
