@@ -6,8 +6,8 @@ report date and whose cohort is empty.  ``cohort(co, n)`` returns the rows the
 measure counts (one key column), which tests compare key by key.
 
 These per-measure plans are the straightforward form: every measure scans
-what it needs.  ``plans.fused`` computes the same 49 values in one pass per
-source table.
+what it needs.  ``plans.fused`` computes the same 49 values with two passes
+over the service table and one over playback.
 """
 
 from __future__ import annotations
