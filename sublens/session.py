@@ -38,7 +38,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``.  Only a local-mode session (tests, the bench)
     without one gets a fresh scratch folder; on a cluster an unset folder is
     an error, never a machine-local directory."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:            # Spark Connect: the server's own setting applies
+        return spark.conf.get("spark.checkpoint.dir", None)
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         if not sc.master.startswith("local"):
