@@ -21,13 +21,17 @@ D = T - dt.timedelta(days=1)
 CTX = ReportContext(today=T)
 
 
-def check(spark, world: World, ctx: ReportContext = CTX, orders=()) -> dict[int, int]:
+def check(spark, world: World, ctx: ReportContext = CTX, orders=(), with_sql=False
+          ) -> dict[int, int]:
     """Fused == oracle on the whole report, per-measure == oracle on
-    ``orders``; returns {order: value} of emitted rows."""
+    ``orders`` (and, with ``with_sql``, the literal statement on Spark SQL ==
+    oracle); returns {order: value} of emitted rows."""
     src = world.sources(spark)
     expected = oracle_report(world, ctx)
     fused = spark_report(daily_report(src, ctx, plan="fused"))
     assert fused == expected
+    if with_sql:
+        assert spark_report(daily_report(src, ctx, plan="sql")) == expected
     co = Cohorts(src, ctx)
     by_order = {o: (o, m, v) for o, m, v in expected}
     for n in orders:
@@ -37,7 +41,7 @@ def check(spark, world: World, ctx: ReportContext = CTX, orders=()) -> dict[int,
 
 
 def test_s1_empty_inputs_emit_38_zero_rows(spark):
-    got = check(spark, World(), orders=[1, 15, 20, 24])
+    got = check(spark, World(), orders=[1, 15, 20, 24], with_sql=True)
     assert set(got) == set(MEASURE_NAMES) - NO_ROW_WHEN_EMPTY
     assert all(v == 0 for v in got.values())
     assert len(got) == 38
@@ -49,7 +53,7 @@ def test_s2_null_in_test_list_empties_every_excluding_measure(spark):
     w.service(2, D - dt.timedelta(days=3), D + dt.timedelta(days=5),
               coupon="SparkDCBProd2", commence=D)                         # M7, M10
     w.test = ["99", None]
-    got = check(spark, w, orders=[1, 7, 10])
+    got = check(spark, w, orders=[1, 7, 10], with_sql=True)
     assert got[1] == 0 and got[7] == 0 and got[10] == 0
 
 
@@ -57,7 +61,7 @@ def test_s2_null_account_passes_only_with_an_empty_test_list(spark):
     w = World()
     w.service(None, D - dt.timedelta(days=2), D + dt.timedelta(days=9), method="FREE TRIAL",
               account_key=77)
-    got = check(spark, w, orders=[20])
+    got = check(spark, w, orders=[20], with_sql=True)
     assert got[20] == 0            # a row is emitted, nothing is counted
     w.test = ["5"]
     got = check(spark, w, orders=[20])
@@ -265,7 +269,7 @@ def test_random_worlds_all_three_agree(spark, seed):
     w.vip_table = [str(rnd.randint(1, 60)) for _ in range(3)]
     for _ in range(4):
         w.vip_promo(rnd.randint(1, 60), name=rnd.choice(["VIP", "SKY Employee Perk", "OTHER"]))
-    got = check(spark, w, orders=[2, 3, 12, 15, 19, 22])
+    got = check(spark, w, orders=[2, 3, 12, 15, 19, 22], with_sql=True)
     assert sum(got.values()) > 0
 
 
