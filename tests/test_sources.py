@@ -21,3 +21,17 @@ def test_parquet_sources_prune_push_and_agree(spark, tmp_path):
     a = sorted(tuple(r) for r in daily_report(back, ctx).collect())
     b = sorted(tuple(r) for r in daily_report(src, ctx).collect())
     assert a == b
+
+
+def test_catalog_sources_agree(spark):
+    src = fixtures.load(spark, SF)
+    names = {}
+    for f in fields(src):
+        view = f"cat_{f.name}"
+        getattr(src, f.name).createOrReplaceTempView(view)
+        names[f.name] = view
+    back = Sources.from_catalog(spark, names)
+    ctx = fixtures.fixture_context()
+    a = sorted(tuple(r) for r in daily_report(back, ctx).collect())
+    b = sorted(tuple(r) for r in daily_report(src, ctx).collect())
+    assert a == b
