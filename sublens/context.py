@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from sublens.functions import domain
 
@@ -43,7 +43,6 @@ class ReportContext:
     partner_excluded_ids: tuple[str, ...] = domain.PARTNER_EXCLUDED_IDS
     # physical layout knobs (not semantics)
     lag_bucket_width: int = 1 << 20
-    extra: dict = field(default_factory=dict, compare=False)
 
     # -- derived dates -----------------------------------------------------
     @property
