@@ -379,7 +379,8 @@ def fused_report(src: Sources, ctx: ReportContext) -> DataFrame:
                             F.col("r.measure").alias("measure"), F.col("r.value").alias("value")))
 
     # key-counted measures and hours
-    # its own selective scan: a second consumer of `acct` would recompute it
+    # measure 21's cohort straight from the slice (filtering `acct` instead
+    # would push an inferred filter below its aggregate and compute it twice)
     l7_accounts = co.new_trialists(d.MONTHLY, *ctx.short_window).select(ACCOUNT)
     m21_rows = setops.is_in(keyed.where("e_l7"), ACCOUNT, l7_accounts)
     m21 = result_row(m21_rows, F.count_distinct("dim_account_key"), 21, D, True)
@@ -387,9 +388,8 @@ def fused_report(src: Sources, ctx: ReportContext) -> DataFrame:
     key_viewers = vbits.where("e_ged")
     m25 = result_row(key_viewers, F.count_distinct("dim_account_key"), 25, D, True)
 
-    # per-day hours over every day read; the `day >= D` condition is applied in
-    # the final aggregate, not as a filter (a filter on the grouping key would be
-    # pushed below `vd`'s aggregate and stop the exchange from being reused)
+    # per-day hours (truncated per day) over every day read; `day >= D` is a
+    # condition of the final aggregate, whose "any such day" decides the row
     daily = (vd.groupBy("day")
                .agg(F.expr(f"sum(seconds) div {ctx.seconds_per_hour}").alias("hours")))
     on_or_after_d = F.col("day") >= F.lit(D)
