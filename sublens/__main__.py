@@ -28,13 +28,14 @@ from sublens.sources.tables import Sources
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="sublens", description=__doc__.split("\n")[0])
     ap.add_argument("--sources", required=True)
-    ap.add_argument("--today", default=None, help="T; the report describes T - 1 (default: today)")
+    ap.add_argument("--today", default=None,
+                    help="T; the report describes T - 1 (default: today, UTC)")
     ap.add_argument("--plan", choices=["fused", "per_measure", "sql"], default="fused")
     ap.add_argument("--out", default=None)
     ap.add_argument("--driver-tables", action="store_true")
     args = ap.parse_args(argv)
 
-    today = parse_date(args.today) if args.today else dt.date.today()
+    today = parse_date(args.today) if args.today else dt.datetime.now(dt.timezone.utc).date()
     spark = SparkSession.builder.appName("sublens").getOrCreate()
     if args.driver_tables:
         src, ctx = fixtures.load(spark, args.sources), fixtures.fixture_context(today)
