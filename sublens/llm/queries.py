@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sublens.llm import simhash
+from sublens.llm import records, simhash
 from sublens.llm.common import table
 
 
@@ -12,8 +13,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, index = records.output(table(spark, sf_dir, "documents"))
+    return index.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op6_records": op6_records,
 }
 
 ORACLE_SQL: dict[str, str] = {}
