@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sublens.llm import records, simhash
+from sublens.llm import decontaminate, records, simhash
 from sublens.llm.common import table
 
 
@@ -18,9 +18,51 @@ def op6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.verdicts(decontaminate.scan(docs, table(spark, sf_dir, "benchmark")))
+    return found.select(
+        "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_hit").alias("n_hit"),
+        F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
+        F.col("_contaminated").alias("contaminated"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op6_records": op6_records,
+    "op7_decontaminate": op7_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_AZ = ("translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+
+OP7_SQL = f"""
+with d as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all({_AZ.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents),
+b as (
+  select cast(item_id as varchar) as item,
+         regexp_extract_all({_AZ.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from benchmark),
+windows as (
+  select distinct item, least(len(w), 13) as n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') as g
+  from b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as t(i) where len(w) > 0),
+sizes as (select distinct n from windows),
+grams as (
+  select r, i, n, array_to_string(w[i:i + n - 1], ' ') as g
+  from d, sizes, unnest(range(1, len(w) - n + 2)) as t(i) where len(w) >= n),
+occurs as (select r, i, grams.n, item from grams join windows using (n, g)),
+hits as (select r, count(distinct i + k) as n_hit from occurs, unnest(range(0, n)) as t(k) group by r),
+named as (
+  select r, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as items
+  from occurs group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join hits using (r) left join named using (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_decontaminate": OP7_SQL,
+}
