@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sublens.llm import decontaminate, records, simhash
+from sublens.llm import decontaminate, quality, records, simhash, toxicity
 from sublens.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, index = records.output(table(spark, sf_dir, "documents"))
     return index.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
@@ -28,10 +32,16 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_contaminated").alias("contaminated"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_toxicity": op3_toxicity,
     "op6_records": op6_records,
     "op7_decontaminate": op7_decontaminate,
+    "op10_quality": op10_quality,
 }
 
 _AZ = ("translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")

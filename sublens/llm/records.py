@@ -30,7 +30,9 @@ repeated records.  No rows: an empty folder, an empty index.
 from __future__ import annotations
 
 import bisect
+import functools
 import itertools
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -44,7 +46,7 @@ from sublens.llm.common import run_folder
 
 FILE_BYTES = 32 << 20         # about how much text goes into one file
 END_ID = 1
-WORD_CACHE = 1 << 18          # distinct words kept by an encoder
+WORD_STORE = 1 << 19          # words and pieces in each half of an encoder's store
 POLYNOMIAL = 0x82F63B78       # CRC-32C, reflected
 MASK_DELTA = 0xA282EAD8
 BLOCK = 128                   # bytes of a checksum block
@@ -113,30 +115,53 @@ def masked_checksums(parts: list[bytes]) -> np.ndarray:
 
 class WordEncoder:
     """A tokenizer that drops white space encodes each word by itself, so words
-    met before are taken from a bounded store."""
+    met before are taken from a bounded store.  A word of letters and the marks
+    after it are two pieces, so a known word with another case or mark is
+    put together from known pieces."""
 
     SPACE = re.compile("[ \t\r\n]")
+    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+
+    def _encode_new(self, words: list[str]) -> None:
+        known, older, pieces, built = self.known, self.older, set(), []
+        for w in words:
+            if (seen := older.get(w)) is not None:
+                known[w] = seen
+                continue
+            m = self.PLAIN.fullmatch(w)
+            parts = (m[1].lower(), m[2]) if m else (w, "")
+            built.append((w, parts))
+            pieces.update(x for x in parts if x not in known)
+        todo = sorted(pieces)
+        for i in range(0, len(todo), 1024):
+            some = todo[i:i + 1024]
+            for x, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                known[x] = np.array(e.ids, dtype=f"<u{self.width}").tobytes()
+        for w, (body, tail) in built:
+            known[w] = known[body] + known[tail]
 
     def encode(self, text: str) -> bytes:
         words = self.SPACE.sub(" ", text).split(" ")
-        known = self.known
-        new = [w for w in set(words) if w not in known]
+        if len(self.known) >= WORD_STORE:                   # the oldest half goes
+            self.older, self.known = self.known, {"": b""}
+        new = [w for w in set(words) if w not in self.known]
         if new:
-            if len(known) + len(new) > WORD_CACHE:
-                known.clear()
-                known[""] = b""
-                new = [w for w in set(words) if w]
-            for i in range(0, len(new), 4096):
-                some = new[i:i + 4096]
-                for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, dtype=f"<u{self.width}").tobytes()
-        return b"".join(map(known.__getitem__, words))
+            self._encode_new(new)
+        return b"".join(map(self.known.__getitem__, words))
+
+
+@functools.lru_cache(maxsize=2)
+def _encoder(path: str) -> WordEncoder:
+    """Kept by a Python worker over its tasks."""
+    return WordEncoder(path)
 
 
 def _cuts(docs: DataFrame, id_col: str, text_col: str, file_bytes: int) -> list[int]:
@@ -156,27 +181,27 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     cuts = _cuts(docs, id_col, text_col, file_bytes)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = WordEncoder(tokenizer_path)
+        enc = _encoder(tokenizer_path)
         end = int(end_id).to_bytes(enc.width, "little")
         head = bytes([enc.width])
-        for b in batches:
-            ids, out, part = b.column(0).to_pylist(), [], []
-            for i, t in zip(ids, b.column(1), strict=True):
-                body = enc.encode(t.as_py()) + end
-                none = i is None
-                out.append((0 if none else i).to_bytes(8, "little", signed=True) + bytes([none]) + head + body)
-                lo = 0 if none else bisect.bisect_left(cuts, i)
-                hi = 0 if none else bisect.bisect_right(cuts, i)
-                part.append(lo if hi <= lo + 1 else lo + zlib.crc32(body) % (hi - lo + 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int32()), b.column(0), pa.array(out, pa.binary())], ["part", "id", "record"])
+        for whole in batches:
+            for b in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
+                ids, out, part = b.column(0).to_pylist(), [], []
+                for i, t in zip(ids, b.column(1), strict=True):
+                    body = enc.encode(t.as_py()) + end
+                    none = i is None
+                    out.append((0 if none else i).to_bytes(8, "little", signed=True) + bytes([none]) + head + body)
+                    lo = 0 if none else bisect.bisect_left(cuts, i)
+                    hi = 0 if none else bisect.bisect_right(cuts, i)
+                    part.append(lo if hi <= lo + 1 else lo + zlib.crc32(body) % (hi - lo + 1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part, pa.int32()), b.column(0), pa.array(out, pa.binary())], ["part", "id", "record"])
 
     def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rec = b.column(0).to_pylist()
-            sizes = [len(r).to_bytes(8, "little") for r in rec]
-            for i in range(0, len(rec), 1024):
-                r, s = rec[i:i + 1024], sizes[i:i + 1024]
+            for i in range(0, b.num_rows, 256):
+                r = b.column(0).slice(i, 256).to_pylist()
+                s = [len(x).to_bytes(8, "little") for x in r]
                 out = [n + int(a).to_bytes(4, "little") + x + int(c).to_bytes(4, "little")
                        for n, a, x, c in zip(s, masked_checksums(s), r, masked_checksums(r), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
@@ -198,8 +223,8 @@ def parse(data: bytes) -> Iterator[tuple[int, int, bytes]]:
             raise ValueError(f"frame at {at} is cut short")
         found.append((at, n))
         at += HEAD + n + TAIL
-    for i in range(0, len(found), 1024):
-        some = found[i:i + 1024]
+    for i in range(0, len(found), 256):
+        some = found[i:i + 256]
         heads = masked_checksums([data[a:a + 8] for a, _ in some])
         bodies = [data[a + HEAD:a + HEAD + n] for a, n in some]
         sums = masked_checksums(bodies)
