@@ -103,3 +103,26 @@ def test_damage_is_found():
         bad[i] ^= 4
         with pytest.raises(ValueError):
             list(records.parse(bytes(bad)))
+
+
+def test_word_encoder_equals_the_tokenizer(spark):
+    import public_tokenizers
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += ["Don't I'LL we've x's", "ÀÉÎ ß ẞ ﬁ ² ½ x²", "e\u0301 \u0301a", "a\u00a0b\u2003c\x1cd\x85e", "<|endoftext|>a <|startoftext|>",
+              "ABC... (a)", "ÿ× ÷ø Ø", "日本語 текст ΣΑΣ", "_a_ a_b 1a a1", ""]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        path = public_tokenizers.path(name)
+        tok, enc = Tokenizer.from_file(path), records.WordEncoder(path)
+        assert (enc.by_word, enc.by_piece) == ((True, True) if name[0] == "w" else (False, False))
+        some = texts if name[0] == "w" else texts[-60:]
+        for t in some:
+            assert np.frombuffer(enc.encode(t), f"<u{enc.width}").tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
+def test_store_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(records, "WORD_STORE", 50)
+    enc, tok = records.WordEncoder(records.default_tokenizer()), Tokenizer.from_file(records.default_tokenizer())
+    for i in range(40):
+        t = " ".join(f"w{j}x, Same" for j in range(i * 3, i * 3 + 10))
+        assert np.frombuffer(enc.encode(t), "<u2").tolist() == tok.encode(t, add_special_tokens=False).ids
+        assert len(enc.known) < 150 and len(enc.older) < 150
