@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sublens.llm import decontaminate, quality, records, simhash, toxicity
+from sublens.llm import decontaminate, quality, records, repeats, simhash, toxicity
 from sublens.llm.common import table
 
 
@@ -17,6 +17,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, index = records.output(table(spark, sf_dir, "documents"))
     return index.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
@@ -39,6 +46,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_toxicity": op3_toxicity,
+    "op4_repeats": op4_repeats,
     "op6_records": op6_records,
     "op7_decontaminate": op7_decontaminate,
     "op10_quality": op10_quality,
