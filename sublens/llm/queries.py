@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sublens.llm import decontaminate, quality, records, repeats, simhash, toxicity
+from sublens.llm import decontaminate, quality, quality_rules, records, repeats, simhash, toxicity
 from sublens.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_contaminated").alias("contaminated"))
 
 
+def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op4_repeats": op4_repeats,
     "op6_records": op6_records,
     "op7_decontaminate": op7_decontaminate,
+    "op8_rules": op8_rules,
     "op10_quality": op10_quality,
 }
 
@@ -81,6 +86,55 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
 from d left join hits using (r) left join named using (r)
 """
 
+_TESTS8 = ", ".join(f"('{r[0]}', {c})" for r in quality_rules.RULES for c in r[3])
+_TOP8 = " ".join(f"when '{r[0]}' then {r[1]}" for r in quality_rules.RULES)
+_BOTTOM8 = " ".join(f"when '{r[0]}' then {r[2]}" for r in quality_rules.RULES)
+_RATE8 = quality_rules.ALLOWED / len(quality_rules.RULES)
+
+OP8_SQL = f"""
+with d as (
+  select row_number() over () as r, doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as l
+  from documents),
+grams as (
+  select r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g
+  from d, unnest(range(1, len(w) - 1)) as x(i) where len(w) > 2),
+twice as (select r, g from grams group by r, g having count(*) > 1),
+repeated as (
+  select r, count(distinct i + k) as n from grams join twice using (r, g), unnest([0, 1, 2]) as x(k) group by r),
+c as (
+  select r, doc_id, stratum, len(w)::bigint as n_words, len(l)::bigint as n_lines,
+         length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g'))::bigint as word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+         (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, coalesce(n, 0)::bigint as n_repeat_words
+  from d left join repeated using (r)),
+good as (select doc_id from labels where quality is not null group by doc_id having min(quality) = 1 and max(quality) = 1),
+tests(rule, cutoff) as (values {_TESTS8}),
+held as (
+  select stratum, rule, cutoff, count(*) as n,
+         count(*) filter (where 100 * (case rule {_TOP8} end) >= cutoff * (case rule {_BOTTOM8} end)) as k
+  from c, tests where doc_id in (select doc_id from good) group by all),
+tails as (
+  select stratum, rule, cutoff, case when k > n * {_RATE8} then 1.0 else
+    (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_RATE8}) + (n - i) * ln(1 - {_RATE8})))
+     from unnest(range(0, k + 1)) as x(i)) end as p
+  from held),
+cuts as (
+  select stratum, rule, min(cutoff) as cutoff from tails
+  where p <= {quality_rules.DELTA} / ({len(quality_rules.RULES)} * (select count(distinct stratum) from held))
+  group by all),
+bad as (
+  select distinct r from c join cuts using (stratum)
+  where 100 * (case rule {_TOP8} end) >= cutoff * (case rule {_BOTTOM8} end))
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+       not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and r not in (select r from bad) as kept
+from c
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op8_rules": OP8_SQL,
     "op7_decontaminate": OP7_SQL,
 }
