@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +37,43 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     return rows.groupBy("_id", "y").agg(F.min("t").alias("t")).select("t", "y")
 
 
+Extract = Callable[[str], set[str]]
+
+
+def count_features(rows: DataFrame, extract: Extract, least: int) -> DataFrame:
+    """(f, pos, neg): in how many rows (t, y) of each class a feature is
+    present, for features in ``least`` rows or more; counted where the texts
+    are, added up after."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
+                counts: dict[str, list[int]] = {}
+                for t, y in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+                    for f in extract(t.as_py().decode()):
+                        counts.setdefault(f, [0, 0])[y == 1] += 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(counts), pa.string()), pa.array([c[1] for c in counts.values()], pa.int64()),
+                     pa.array([c[0] for c in counts.values()], pa.int64())], ["f", "pos", "neg"])
+
+    found = rows.select("t", "y").mapInArrow(run, "f string, pos long, neg long")
+    return found.groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).filter(
+        F.col("pos") + F.col("neg") >= least)
+
+
+def class_sizes(rows: DataFrame) -> tuple[int, int]:
+    """Rows with label 0 and with label 1."""
+    got = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}      # two rows
+    return got.get(0, 0), got.get(1, 0)
+
+
+def constant(negative: int, positive: int) -> float:
+    """Log-odds of label 1 when nothing can be learnt (0 without rows)."""
+    p = positive / (positive + negative) if positive + negative else 0.5
+    p = min(max(p, 1e-6), 1 - 1e-6)
+    return float(np.log(p / (1 - p)))
+
+
 def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """a, b of 1 / (1 + exp(-(a * margin + b))), by Newton steps on smoothed targets."""
     pos, neg = float((y == 1).sum()), float((y != 1).sum())

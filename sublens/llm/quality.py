@@ -1,18 +1,20 @@
 """Quality classifier: a support vector machine on Naive Bayes features.
 
-A text's features are the presence of n-grams (one and two units) in two
-spellings: the lower-cased word, and the word's form (case, digits, the marks
-attached to it, or "=" for a word that repeats the one before).  A form n-gram
-counts once for each share of the text that it reaches (any, 0.2 %, 1 %, 5 %,
-20 %), so that few strange words and a page of them differ at any length.
+A text's features are the presence of n-grams in two spellings: the lower-cased
+word, and the forms (case, digits, the marks attached, or "=" for a word that
+repeats the one before) of one and of two words.  A form n-gram counts once for
+each share of the text that it reaches (any, 0.2 %, 1 %, 5 %, 20 %), so that a few
+strange words and a page of them differ at any length.
 
 Each indicator is scaled by its log-count ratio between the classes (add-one
 smoothed, each class normalised), and a linear machine with hinge loss is fitted to the scaled
 indicators by dual coordinate descent.  The margin becomes a score by a
 sigmoid fitted to margins of rows held back from the fit.
 
-The fit runs in one executor task on up to ``SAMPLE`` labelled rows (a bounded,
-documented sample); scoring covers every row and whole texts.
+Learning takes up to ``SAMPLE`` labelled rows (a bounded, documented sample).
+Their texts stay distributed: features are counted and looked up by Spark's
+tasks, and one task fits the rows' feature numbers.  Scoring covers every row
+and whole texts.
 
 Defined cases: NULL and empty texts have no features and get the score of the
 bias.  Without labelled rows of both classes the score is the share of label 1
@@ -32,12 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sublens.llm.common import text_bytes
-from sublens.llm.linear import fold, labelled_sample, platt, sigmoid
+from sublens.llm.common import stored, text_bytes
+from sublens.llm.linear import class_sizes, constant, count_features, fold, labelled_sample, platt, sigmoid
 
 SAMPLE = 20_000
 MIN_ROWS = 5                  # rows a feature must occur in
-MAX_WORD_FEATURES = 20_000    # the most frequent word n-grams kept
+MAX_FEATURES = 20_000         # of each spelling, the most frequent
 COST = 1.0
 EPOCHS = 12
 THRESHOLD = 0.7
@@ -63,33 +65,33 @@ class Forms(dict):
         return form
 
 
-def features(text: str, forms: Forms) -> tuple[set, set]:
-    """(form features with their shares, word features) of a text."""
+FORMS = Forms()
+
+
+def features(text: str) -> set[str]:
+    """Forms with the shares they reach, and words."""
     words = text.split()
-    shape = list(map(forms.__getitem__, words))
+    shape = list(map(FORMS.__getitem__, words))
     for i in [i for i, (a, b) in enumerate(zip(words, words[1:], strict=False), 1) if a == b]:
         shape[i] = "="
     counts = Counter(shape)
-    counts.update(zip(shape, shape[1:], strict=False))
+    counts.update(map(" ".join, zip(shape, shape[1:], strict=False)))
     n = max(len(words), 1)
-    shapes = {(g, s) for g, k in counts.items() for s in itertools.takewhile(lambda s, f=k / n: f >= s, SHARES)}
-    low = text.lower().split()
-    return shapes, set(low) | set(zip(low, low[1:], strict=False))
+    out = {f"{s} {g}" for g, k in counts.items() for s in itertools.takewhile(lambda s, f=k / n: f >= s, SHARES)}
+    out.update("w" + w for w in set(text.lower().split()))
+    return out
 
 
 class Model:
     """Feature -> weight, with the sigmoid; a constant if nothing could be learnt."""
 
-    def __init__(self, weights: dict, bias: float, slope: float, shift: float):
+    def __init__(self, weights: dict[str, float], bias: float, slope: float, shift: float):
         self.weights, self.bias, self.slope, self.shift = weights, bias, slope, shift
 
-    def margin(self, feats: tuple[set, set]) -> float:
+    def score(self, text: str) -> float:
         w = self.weights
-        hit = [w[f] for part in feats for f in part if f in w]
-        return float(np.sum(hit)) + self.bias
-
-    def score(self, feats: tuple[set, set]) -> float:
-        return float(sigmoid(self.slope * self.margin(feats) + self.shift))
+        margin = self.bias + float(np.sum([w[f] for f in sorted(features(text).intersection(w))]))
+        return float(sigmoid(self.slope * margin + self.shift))
 
 
 def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, size: int) -> np.ndarray:
@@ -128,61 +130,56 @@ def dual_descent(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, cost:
     return w, bias
 
 
-def train(texts: list[str], labels: list[int]) -> Model:
-    y = np.array(labels, dtype=int)
-    if len(set(labels)) < 2:
-        p = min(max(float(np.mean(y)) if len(y) else 0.5, 1e-6), 1 - 1e-6)
-        return Model({}, float(np.log(p / (1 - p))), 1.0, 0.0)
-    forms = Forms()
-    shapes, words, df = [], [], Counter()
-    for t in texts:                       # word n-grams: counted first, only the frequent ones kept
-        s, w = features(t, forms)
-        shapes.append(s)
-        df.update(s)
-        words.append(w)
-    common = Counter()
-    for w in words:
-        common.update(w)
-    least = MIN_ROWS if len(texts) >= 1000 else 2
-    names = sorted((f for f, n in df.items() if n >= least), key=repr)
-    names += sorted((f for f, n in common.most_common(MAX_WORD_FEATURES) if n >= least), key=repr)
-    at = {f: i for i, f in enumerate(names)}
-    rows = [np.array(sorted(at[f] for f in itertools.chain(s, w) if f in at), dtype=np.int64)
-            for s, w in zip(shapes, words, strict=True)]
+def train(rows: list[np.ndarray], y: np.ndarray, size: int) -> tuple[np.ndarray, float, float, float]:
+    """Weights of the (unscaled) indicators, bias, slope and shift."""
+    order = sorted(range(len(y)), key=lambda i: (rows[i].tolist(), y[i]))
+    np.random.default_rng(1).shuffle(order)
+    rows, y = [rows[i] for i in order], y[order]
     back = np.arange(len(y)) % 5 == 4      # every fifth row is held back for the sigmoid
 
-    def fit(pick: np.ndarray) -> tuple[np.ndarray, float]:
+    def fit_some(pick: np.ndarray) -> tuple[np.ndarray, float]:
         some = [rows[i] for i in np.flatnonzero(pick)]
-        scale = log_count_ratios(some, y[pick], len(names))
+        scale = log_count_ratios(some, y[pick], size)
         w, bias = dual_descent(some, y[pick], scale)
         return w * scale, bias
 
     slope, shift = 1.0, 0.0
     if len(set(y[back])) == 2 and len(set(y[~back])) == 2:
-        w, bias = fit(~back)
+        w, bias = fit_some(~back)
         margin = np.array([w[rows[i]].sum() + bias for i in np.flatnonzero(back)])
         slope, shift = platt(margin, y[back])
-    w, bias = fit(np.ones(len(y), dtype=bool))
-    return Model({f: float(w[i]) for f, i in at.items() if w[i]}, float(bias), slope, shift)
+    return *fit_some(np.ones(len(y), dtype=bool)), slope, shift
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 4, held: int = 2,
         sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> bytes:
-    """The pickled model (bounded: at most MAX_WORD_FEATURES words and the forms)."""
-    rows = labelled_sample(docs, labels, label, folds, held, sample, id_col, text_col)
+    """The pickled model (bounded: at most MAX_FEATURES weights of each spelling)."""
+    rows = stored(labelled_sample(docs, labels, label, folds, held, sample, id_col, text_col), "quality-rows")
+    sizes = class_sizes(rows)
+    if not all(sizes):
+        return pickle.dumps(Model({}, constant(*sizes), 1.0, 0.0))
+    counted = stored(count_features(rows, features, MIN_ROWS if sum(sizes) >= 1000 else 2), "quality-features")
+    names = sorted(r["f"] for word in (True, False) for r in counted.filter(
+        F.col("f").startswith("w") == word).orderBy(F.desc(F.col("pos") + F.col("neg")), "f").limit(MAX_FEATURES).collect())
+    shared = docs.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(names)})
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = shared.value
+        for b in batches:
+            x = [sorted(at[f] for f in features(t.as_py().decode()).intersection(at)) for t in b.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.int32())), b.column(1)], ["x", "y"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, y = [], []
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, y = [], []
         for b in batches:
-            texts += [t.as_py().decode() for t in b.column(0)]
+            x += [np.asarray(v.values, dtype=np.int64) for v in b.column(0)]
             y += b.column(1).to_pylist()
-        order = sorted(range(len(y)), key=lambda i: (texts[i], y[i]))
-        np.random.default_rng(1).shuffle(order)
-        model = train([texts[i] for i in order], [y[i] for i in order])
+        w, *rest = train(x, np.array(y, dtype=int), len(names))
+        model = Model({f: float(w[i]) for i, f in enumerate(names) if w[i]}, *map(float, rest))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["m"])
 
-    made = rows.repartition(1).mapInArrow(run, "m binary").first()
-    return bytes(made["m"]) if made else pickle.dumps(train([], []))        # no row, no task
+    numbered = rows.select("t", "y").mapInArrow(number, "x array<int>, y int")
+    return bytes(numbered.repartition(1).mapInArrow(learn, "m binary").first()["m"])
 
 
 def score(docs: DataFrame, model: bytes, text_col: str = "text", out_col: str = "score") -> DataFrame:
@@ -192,10 +189,10 @@ def score(docs: DataFrame, model: bytes, text_col: str = "text", out_col: str =
     schema = docs.withColumn(out_col, F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, forms = pickle.loads(shared.value), Forms()
+        m = pickle.loads(shared.value)
         for b in batches:
             at = b.schema.get_field_index(out_col)
-            s = [m.score(features(t.as_py().decode(), forms)) for t in b.column(at)]
+            s = [m.score(t.as_py().decode()) for t in b.column(at)]
             yield b.set_column(at, out_col, pa.array(s, pa.float64()))
 
     return src.mapInArrow(run, schema)

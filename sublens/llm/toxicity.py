@@ -7,8 +7,10 @@ putting other terms of the same list (a neutral one among them) in its place;
 the squared change of the model's margin over these pairs is added to the
 loss, so that naming a group, by itself, moves no score.
 
-The fit runs in one executor task on up to ``SAMPLE`` labelled rows (a bounded,
-documented sample); scoring covers every row and whole texts.
+Learning takes up to ``SAMPLE`` labelled rows (a bounded, documented sample).
+Their texts stay distributed: features are counted, chosen and looked up by
+Spark, and one task fits the rows' feature numbers.  Scoring covers every row
+and whole texts.
 
 Defined cases: NULL and empty texts have no features and get the score of the
 bias.  Without labelled rows of both classes the score is the share of label 1
@@ -19,16 +21,15 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sublens.llm.common import text_bytes
-from sublens.llm.linear import fold, labelled_sample, sigmoid
+from sublens.llm.common import stored, text_bytes
+from sublens.llm.linear import class_sizes, constant, count_features, fold, labelled_sample, sigmoid
 
 SAMPLE = 20_000
 FEATURES = 8_000              # at most, those that tell the classes apart most
@@ -99,14 +100,14 @@ class Model:
         return float(sigmoid(self.bias + sum(self.weights[f] for f in sorted(hit))))
 
 
-def likelihood_ratio(a: int, b: int, na: int, nb: int) -> float:
-    """Statistic of a and b rows with a feature, out of na and nb: twice the log
-    of how much likelier two shares make them than one."""
-    def part(k, n, p):
-        return (k * np.log(p) if k else 0.0) + ((n - k) * np.log(1 - p) if k < n else 0.0)
+def likelihood_ratio(na: int, nb: int) -> Column:
+    """Statistic of pos and neg rows with a feature, out of na and nb: twice the
+    log of how much likelier two shares make them than one."""
+    def part(k: Column, n: int, p: Column) -> Column:
+        return F.when(k > 0, k * F.log(p)).otherwise(0.0) + F.when(k < n, (n - k) * F.log(1 - p)).otherwise(0.0)
+
+    a, b = F.col("pos"), F.col("neg")
     p = (a + b) / (na + nb)
-    if p >= 1:
-        return 0.0
     return 2 * (part(a, na, a / na) + part(b, nb, b / nb) - part(a, na, p) - part(b, nb, p))
 
 
@@ -116,33 +117,14 @@ def _csr(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(rows)), sizes), np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
 
 
-def train(texts: list[str], labels: list[int], counterfactual: float = COUNTERFACTUAL,
-          terms=IDENTITY_TERMS) -> Model:
-    y = np.array(labels, dtype=float)
-    if len(set(labels)) < 2:
-        p = min(max(float(y.mean()) if len(y) else 0.5, 1e-6), 1 - 1e-6)
-        return Model({}, float(np.log(p / (1 - p))))
-    counts = (Counter(), Counter())
-    for t, c in zip(texts, labels, strict=True):
-        counts[c].update(features(words_of(t)))
-    n = [max(labels.count(c), 1) for c in (0, 1)]
-    strength = {f: g for f in counts[0].keys() | counts[1].keys()
-                if (g := likelihood_ratio(counts[1][f], counts[0][f], n[1], n[0])) >= LEAST_RATIO}
-    chosen = sorted(sorted(strength, key=lambda f: (-strength[f], f))[:FEATURES])
-    at = {f: i for i, f in enumerate(chosen)}
-
-    rows, plus, minus, pairs = [], [], [], 0
-    for t in texts:
-        rows.append(np.array(sorted(at[f] for f in features(words_of(t)) if f in at), dtype=np.int64))
-        if counterfactual and pairs < MAX_PAIRS:
-            for here, swapped in counterfactuals(t, terms):
-                plus.append(np.array(sorted(at[f] for f in here - swapped if f in at), dtype=np.int64))
-                minus.append(np.array(sorted(at[f] for f in swapped - here if f in at), dtype=np.int64))
-                pairs += 1
+def train(rows: list[np.ndarray], y: np.ndarray, plus: list[np.ndarray], minus: list[np.ndarray], size: int,
+          counterfactual: float = COUNTERFACTUAL) -> tuple[np.ndarray, float]:
+    """Weights and bias; plus and minus are the features that each swap takes
+    away and brings."""
     r, c = _csr(rows)
     pr, pc = _csr(plus)
     mr, mc = _csr(minus)
-    size, pairs = len(chosen), len(plus)
+    pairs = len(plus)
     w, bias = np.zeros(size), 0.0
     gw, gb = np.full(size, 1e-8), 1e-8
     for _ in range(STEPS):                # full gradients, a step width for each weight
@@ -158,25 +140,60 @@ def train(texts: list[str], labels: list[int], counterfactual: float = COUNTERFA
         gb += db * db
         w -= 0.5 * d / np.sqrt(gw)
         bias -= 0.5 * db / np.sqrt(gb)
-    return Model({f: float(w[i]) for f, i in at.items() if w[i]}, float(bias))
+    return w, float(bias)
+
+
+def _text_features(text: str) -> set[str]:
+    return features(words_of(text))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, held: int = 0,
         sample: int = SAMPLE, counterfactual: float = COUNTERFACTUAL, terms=IDENTITY_TERMS,
         id_col: str = "doc_id", text_col: str = "text") -> bytes:
     """The pickled model (bounded: at most FEATURES weights)."""
-    rows = labelled_sample(docs, labels, label, folds, held, sample, id_col, text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = []
+    rows = stored(labelled_sample(docs, labels, label, folds, held, sample, id_col, text_col), "toxicity-rows")
+    negative, positive = class_sizes(rows)
+    if not negative or not positive:
+        return pickle.dumps(Model({}, constant(negative, positive)))
+    ratio = likelihood_ratio(positive, negative)
+    counted = count_features(rows, _text_features, 3).select("f", ratio.alias("g")).filter(F.col("g") >= LEAST_RATIO)
+    names = sorted(r["f"] for r in counted.orderBy(F.desc("g"), "f").limit(FEATURES).collect())
+    shared = docs.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(names)})
+    kind = pa.list_(pa.int32())
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(y, x, none) of each row, and (NULL, plus, minus) of each swap."""
+        at = shared.value
+
+        def of(found):
+            return sorted(at[f] for f in found if f in at)
+        for b in batches:
+            out = []
+            for t, y in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+                text = t.as_py().decode()
+                out.append((y, of(_text_features(text)), None))
+                if counterfactual:
+                    out += [(None, of(a - z), of(z - a)) for a, z in counterfactuals(text, terms)]
+            y, x, m = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(x, kind), pa.array(m, kind)], ["y", "x", "m"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got, swaps = [], []
         for b in batches:
-            got += zip((t.as_py().decode() for t in b.column(0)), b.column(1).to_pylist(), strict=True)
+            for y, x, m in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                got.append((x, y)) if y is not None else swaps.append((x, m))
         got.sort()
-        model = train([t for t, _ in got], [y for _, y in got], counterfactual, terms)
+        swaps = sorted(swaps)[:: -(-len(swaps) // MAX_PAIRS) or 1]
+
+        def number_arrays(lists):
+            return [np.array(v, dtype=np.int64) for v in lists]
+        w, bias = train(number_arrays(x for x, _ in got), np.array([y for _, y in got], dtype=float),
+                        number_arrays(x for x, _ in swaps), number_arrays(m for _, m in swaps), len(names), counterfactual)
+        model = Model({f: float(w[i]) for i, f in enumerate(names) if w[i]}, bias)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["m"])
 
-    made = rows.repartition(1).mapInArrow(run, "m binary").first()
-    return bytes(made["m"]) if made else pickle.dumps(train([], []))        # no row, no task
+    numbered = rows.select("t", "y").mapInArrow(number, "y int, x array<int>, m array<int>")
+    return bytes(numbered.repartition(1).mapInArrow(learn, "m binary").first()["m"])
 
 
 def score(docs: DataFrame, model: bytes, text_col: str = "text", out_col: str = "score") -> DataFrame:

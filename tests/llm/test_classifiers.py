@@ -88,15 +88,17 @@ def test_log_count_ratios_and_dual_descent():
     assert loss(np.append(w, b)) <= loss((x * s[:, None]).T @ alpha) * 1.001
 
 
-def test_counterfactual_penalty_lowers_scores_of_neutral_mentions():
+def test_counterfactual_penalty_lowers_scores_of_neutral_mentions(spark):
     rng = np.random.default_rng(2)
     words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(8)]
 
     def say(*extra):
         return " ".join([*rng.choice(words, 8), *extra])
     texts = [say("muslims", "scum") for _ in range(120)] + [say("muslims") for _ in range(5)] + [say() for _ in range(400)]
-    y = [1] * 120 + [0] * 405
-    plain, fair = toxicity.train(texts, y, counterfactual=0.0), toxicity.train(texts, y)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 120)) for i in range(len(texts))], "doc_id long, toxic int")
+    plain = pickle.loads(toxicity.fit(docs, labels, counterfactual=0.0))
+    fair = pickle.loads(toxicity.fit(docs, labels))
     neutral, toxic = "the muslims went home", "these muslims are scum"
     assert fair.score(neutral) < 0.5 * plain.score(neutral)
     assert abs(fair.score(neutral) - fair.score("the people went home")) < 0.05
@@ -105,7 +107,14 @@ def test_counterfactual_penalty_lowers_scores_of_neutral_mentions():
     assert len(pairs) == 4 and all(a != b for a, b in pairs)
 
 
-def test_models_are_small():
-    m = toxicity.train(["good words here"] * 50 + ["vile trash words"] * 50, [0] * 50 + [1] * 50)
-    assert m.score("vile trash") > 0.5 > m.score("good words")
-    assert len(pickle.dumps(m)) < 1 << 20
+def test_likelihood_ratio(spark):
+    rows = spark.createDataFrame([(5, 0), (0, 0), (10, 90), (40, 3), (100, 900)], "pos long, neg long")
+    got = [r[0] for r in rows.select(toxicity.likelihood_ratio(100, 900)).collect()]
+
+    def log_likelihood(k, n, p):
+        return (k * np.log(p) if k else 0) + ((n - k) * np.log(1 - p) if k < n else 0)
+    for (a, b), g in zip([(5, 0), (0, 0), (10, 90), (40, 3)], got, strict=False):
+        p = (a + b) / 1000
+        want = 2 * (log_likelihood(a, 100, a / 100) + log_likelihood(b, 900, b / 900)
+                    - log_likelihood(a, 100, p) - log_likelihood(b, 900, p))
+        assert abs(g - want) < 1e-9
