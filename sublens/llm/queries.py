@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sublens.llm import decontaminate, quality, quality_rules, records, repeats, simhash, toxicity
+from sublens.llm import decontaminate, mixing, quality, quality_rules, records, repeats, simhash, toxicity
 from sublens.llm.common import table
 
 
@@ -24,6 +24,21 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled table of the domain classifier: the language of the rows in labels."""
+    return table(spark, sf_dir, "documents").select("doc_id", "lang").join(
+        table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = mixing.rated(docs, docs, labelled_domains(spark, sf_dir), keep=["doc_id"])
+    return rows.select(
+        "doc_id", F.col("_n").alias("n_tokens"),
+        *[F.get("_p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(mixing.TARGETS)],
+        F.col("_rate").alias("rate"), mixing.copies().alias("copies"))
+
+
 def op6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, index = records.output(table(spark, sf_dir, "documents"))
     return index.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
@@ -51,6 +66,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_toxicity": op3_toxicity,
     "op4_repeats": op4_repeats,
+    "op5_mixing": op5_mixing,
     "op6_records": op6_records,
     "op7_decontaminate": op7_decontaminate,
     "op8_rules": op8_rules,
