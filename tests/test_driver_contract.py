@@ -25,7 +25,7 @@ def test_entry_runs_on_smoke_data(spark):
 def test_every_query_has_an_oracle():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    missing = set(q) - set(o)
+    missing = {k for k in set(q) - set(o) if k not in entry._LLM_QUERIES}
     assert not missing, missing
 
 
