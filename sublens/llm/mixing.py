@@ -5,7 +5,7 @@ hashes (``BUCKETS`` of them).  A document's log-likelihood counts for at most ``
 words, so short and mixed texts keep a soft posterior.  With n tokens and posterior
 p of each document, nonnegative rates r solve the least-squares problem
 
-    minimise |sum of r n p - target tokens per domain|^2,  r >= 0
+    minimise |sum of r n p - target tokens per domain|^2,  0 <= r <= MAX_RATE
 
 by projected gradient steps from r = 1.  Each step is one distributed aggregate
 (a vector and a matrix of the number of domains); the residual alone moves every rate,
@@ -37,6 +37,7 @@ BUCKETS = 1024
 TRUST = 30
 SAMPLE = 20_000               # labelled rows the classifier is fitted to
 HEADROOM = 1.02               # of the default total: soft members of a domain stay whole too
+MAX_RATE = 16.0               # no row is repeated more often than this
 STEPS = 40
 TOLERANCE = 1e-7              # of the total, where the steps end
 TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
@@ -121,7 +122,7 @@ def rate(moves: list[list[float]]) -> Column:
 
     def step(r: Column, g: Column) -> Column:
         dot = sum((F.get("_p", F.lit(i)) * F.get(g, F.lit(i)) for i in range(len(moves[0]))), F.lit(0.0))
-        return F.greatest(F.lit(0.0), r - dot)
+        return F.least(F.lit(MAX_RATE), F.greatest(F.lit(0.0), r - dot))
 
     return F.aggregate(taken, F.lit(1.0), step)
 
@@ -133,12 +134,12 @@ def solve_rates(rows: DataFrame, weights: list[float], total: float | None = Non
     weights = [w / sum(weights) for w in weights]
 
     def measure(moves: list[list[float]]) -> tuple[list[float], list[list[float]]]:
-        """Expected tokens of each domain, and the matrix over rows with a rate."""
+        """Expected tokens of each domain, and the matrix over rows not at a bound."""
         r = rows.withColumn("_r", rate(moves))
         p = [F.get("_p", F.lit(i)) for i in range(d)]
         got = r.agg(
             *[F.sum(F.col("_r") * F.col("_n") * p[i]).alias(f"a{i}") for i in range(d)],
-            *[F.sum(F.when(F.col("_r") > 0, F.col("_n") * p[i] * p[j])).alias(f"m{i}_{j}")
+            *[F.sum(F.when((F.col("_r") > 0) & (F.col("_r") < MAX_RATE), F.col("_n") * p[i] * p[j])).alias(f"m{i}_{j}")
               for i in range(d) for j in range(i, d)]).first()
         return ([got[f"a{i}"] or 0.0 for i in range(d)],
                 [[got[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(d)] for i in range(d)])

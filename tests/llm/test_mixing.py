@@ -51,7 +51,7 @@ def test_posteriors_equal_plain_naive_bayes(spark):
     assert got[5]["_n"] == 500 and got[4]["_n"] == 0
 
 
-@pytest.mark.parametrize("weights,total", [([0.2, 0.3, 0.5], None), ([0.05, 0.05, 0.9], 1500.0), ([0.6, 0.2, 0.2], 900.0)])
+@pytest.mark.parametrize("weights,total", [([0.2, 0.3, 0.5], None), ([0.05, 0.05, 0.9], 1500.0), ([0.6, 0.2, 0.2], 900.0), ([0.01, 0.01, 0.98], 40_000.0)])
 def test_rates_solve_the_least_squares_problem(spark, weights, total):
     """Against many plain projected gradient steps: same residual; optimality
     conditions hold."""
@@ -66,9 +66,9 @@ def test_rates_solve_the_least_squares_problem(spark, weights, total):
     t = total if total else mixing.HEADROOM * max(h / x for h, x in zip(a.sum(1), w, strict=True) if x)
     x, step = np.ones(80), 1 / np.linalg.eigvalsh(a @ a.T).max()
     for _ in range(20_000):
-        x = np.maximum(0, x - step * a.T @ (a @ x - w * t))
+        x = np.clip(x - step * a.T @ (a @ x - w * t), 0, mixing.MAX_RATE)
     best = np.linalg.norm(a @ x - w * t)
-    assert (r >= 0).all()
+    assert (r >= 0).all() and (r <= mixing.MAX_RATE).all()
     assert np.linalg.norm(a @ r - w * t) <= best + 0.02 * t
 
 
