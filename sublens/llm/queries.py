@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sublens.llm import decontaminate, mixing, quality, quality_rules, records, repeats, simhash, toxicity
+from sublens.llm import (
+    decontaminate,
+    html_text,
+    mixing,
+    quality,
+    quality_rules,
+    records,
+    repeats,
+    simhash,
+    site_lines,
+    toxicity,
+)
 from sublens.llm.common import table
 
 
@@ -13,6 +24,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,18 +73,24 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_lines.drop_lines(html_text.extract(table(spark, sf_dir, "pages")))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_html": op2_html,
     "op3_toxicity": op3_toxicity,
     "op4_repeats": op4_repeats,
     "op5_mixing": op5_mixing,
     "op6_records": op6_records,
     "op7_decontaminate": op7_decontaminate,
     "op8_rules": op8_rules,
+    "op9_site_lines": op9_site_lines,
     "op10_quality": op10_quality,
 }
 
