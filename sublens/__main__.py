@@ -36,7 +36,9 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
 
     today = parse_date(args.today) if args.today else dt.datetime.now(dt.timezone.utc).date()
-    spark = SparkSession.builder.appName("sublens").getOrCreate()
+    spark = (SparkSession.builder.appName("sublens")
+             # staged tables go when nothing refers to them any more
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate())
     if args.driver_tables:
         src, ctx = fixtures.load(spark, args.sources), fixtures.fixture_context(today)
     else:

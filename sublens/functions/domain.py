@@ -51,7 +51,6 @@ PARTNER_COUPON_PREFIX = "2DGBB"
 SVOD_YES = "Y"
 
 # the value the attribution CASE assigns
-ATTRIBUTED = "Spark"
 
 # partner-voucher accounts left out of "Active 2Degrees"
 PARTNER_EXCLUDED_IDS = (

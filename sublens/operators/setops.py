@@ -5,12 +5,13 @@
   own null-aware anti join is only efficient while the list is
   broadcastable; above that it degrades to a nested loop.  This form keeps
   an ordinary equi-join at any size and lets AQE choose broadcast vs shuffle
-  from runtime statistics (and split skewed partitions).
+  from runtime statistics.  The list is not de-duplicated (neither join needs
+  it): an aggregate between its shuffle and the join would keep AQE from
+  splitting a hot key.
 * ``is_in`` — ``x IN (SELECT k ...)`` as a ``left_semi`` join.
-* ``calendar_holds`` / ``calendar_covers`` — the range joins to the date
-  dimension rewritten to a scalar EXISTS or an equi-join on a per-day table
-  built from the calendar alone (bounded by its span in days, so it is
-  broadcast explicitly).
+* ``calendar_covers`` — the range join to the date dimension rewritten to an
+  equi-join on a per-day table built from the calendar alone, broadcast while
+  the calendar's span in days is within a stated bound.
 * ``rows_at_min`` / ``rows_at_max`` — rows holding a group's extreme value,
   ties kept, as aggregate + equi-join back (partial aggregation makes it
   skew-safe; no per-group sort).
@@ -22,14 +23,15 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _K = "_in_key"
+BROADCAST_DAYS = 200_000          # span of a calendar whose day table may be broadcast (a few MB)
 
 
 def _keys(lst: DataFrame, col: str) -> DataFrame:
-    return lst.select(F.col(col).alias(_K)).where(F.col(_K).isNotNull()).distinct()
+    return lst.select(F.col(col).alias(_K)).where(F.col(_K).isNotNull())
 
 
 @dataclass(frozen=True)
@@ -103,43 +105,19 @@ def calendar_facts(cal: DataFrame, day: dt.date | None = None
     return row["lo"], row["hi"], bool(row["has"])
 
 
-def calendar_holds(cal: DataFrame, day: dt.date) -> Column:
-    """Scalar EXISTS: the date dimension has a row for ``day``.
-
-    ``S JOIN dim_date ON date_dt BETWEEN start AND end WHERE date_dt = D`` is
-    ``D BETWEEN start AND end`` guarded by this (DISTINCT removes the join's
-    duplicates).
-    """
-    return cal.where(F.col("date_dt") == F.lit(day)).exists()
-
-
 def next_calendar_day(cal: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """``(_day, _next_cal)`` for every day from the calendar's first to its
     last date: the earliest calendar date on or after ``_day``.
 
-    Built from the date dimension alone, so its size is bounded by the
-    calendar's span in days — a proven bound that makes it safe to broadcast
-    whatever the size of the data joined to it.  Work is linear in the span:
-    an equi-join on the month finds the next date inside the day's month, and
-    a table of months (twelve rows a year) gives the first date of the next
-    month that has one.
+    Built from the date dimension alone: one row per day of the calendar's
+    span.  Going back from the last day, the latest calendar date met so far
+    is the next one, also across months without any date.
     """
-    cal_days = (cal.select(F.to_date("date_dt").alias("_c")).where(F.col("_c").isNotNull())
-                .distinct().withColumn("_cm", F.trunc("_c", "month")))
-    days = (cal.sparkSession.range(1)
-            .select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("_day"))
-            .withColumn("_dm", F.trunc("_day", "month")))
-    same_month = (days.join(cal_days, (F.col("_cm") == F.col("_dm")) & (F.col("_c") >= F.col("_day")))
-                  .groupBy("_day").agg(F.min("_c").alias("_in_month")))
-    months = cal_days.groupBy("_cm").agg(F.min("_c").alias("_month_first"))
-    later = months.select(F.col("_cm").alias("_later_m"), "_month_first")
-    month_list = months.select(F.col("_cm").alias("_m"))
-    # first calendar date of a later month, per month of the span (months x months)
-    next_month = (month_list.join(later, F.col("_later_m") > F.col("_m"))
-                  .groupBy("_m").agg(F.min("_month_first").alias("_after_month")))
-    return (days.join(same_month, "_day", "left")
-                .join(next_month, F.col("_dm") == F.col("_m"), "left")
-                .select("_day", F.coalesce("_in_month", "_after_month").alias("_next_cal")))
+    dates = cal.select(F.to_date("date_dt").alias("_c")).where(F.col("_c").isNotNull()).distinct()
+    days = cal.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("_day"))
+    back = Window.orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (days.join(dates, F.col("_day") == F.col("_c"), "left")
+                .select("_day", F.last("_c", ignorenulls=True).over(back).alias("_next_cal")))
 
 
 def calendar_cover_flag(df: DataFrame, cal: DataFrame, start_day: str, end_day: str,
@@ -155,7 +133,9 @@ def calendar_cover_flag(df: DataFrame, cal: DataFrame, start_day: str, end_day:
     first, last = bounds if bounds is not None else calendar_facts(cal)[:2]
     if first is None:                       # empty calendar: nothing is covered
         return df.withColumn(name, F.lit(False))
-    nxt = F.broadcast(next_calendar_day(cal, first, last))
+    nxt = next_calendar_day(cal, first, last)
+    if (last - first).days <= BROADCAST_DAYS:
+        nxt = F.broadcast(nxt)
     joined = df.join(nxt, F.col(start_day) == F.col("_day"), "left")
     covered = F.when(F.col(start_day) < F.lit(first), F.lit(first) <= F.col(end_day)) \
                .otherwise(F.coalesce(F.col("_next_cal") <= F.col(end_day), F.lit(False)))

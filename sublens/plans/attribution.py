@@ -35,7 +35,13 @@ def candidates(co: Cohorts) -> DataFrame:
     """Accounts with a coupon whose first DCB start is D — the only ones that
     can be counted — with the last first-DCB day over all their coupons.  A
     small list: the joins with the service history filter the scan map-side
-    instead of shuffling it."""
+    instead of shuffling it.  Made once per run and staged."""
+    if "_dcb_candidates" not in co.__dict__:
+        co.__dict__["_dcb_candidates"] = co.stage(_make_candidates(co))
+    return co.__dict__["_dcb_candidates"]
+
+
+def _make_candidates(co: Cohorts) -> DataFrame:
     return (dcb_firsts(co).groupBy("account_id").agg(
         F.max(P.day("dcb_date")).alias("_last_dcb_day"),
         F.max(P.day("dcb_date") == F.lit(co.D)).alias("_first_dcb_on_d"))
@@ -57,7 +63,9 @@ def unattributed_accounts(co: Cohorts) -> DataFrame:
               .agg(F.max("service_end_date").alias("_last_end"),
                    F.min("service_start_date").alias("_activation")))
 
-    # every service row at the account's last prior end ("service" CTE)
+    bounds = co.stage(bounds)       # an aggregate right below a join could not be split
+
+    # every service row at the account's last prior end
     at_last_end = co.history.where(not_prod1 & P.svod()).join(
         bounds.withColumnRenamed("account_id", "_a"),
         (F.col("account_id") == F.col("_a")) & (F.col("service_end_date") == F.col("_last_end")))

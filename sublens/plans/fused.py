@@ -333,7 +333,8 @@ def horizon_slice(src: Sources, ctx: ReportContext) -> DataFrame:
     days = ((F.to_date("service_end_date") >= F.lit(first))
             | (F.to_date("service_start_date") >= F.lit(first))
             | (F.to_date("service_commence_date") >= F.lit(first)))
-    return src.dim_service.where(raw & days)
+    # the order ids are read by no measure
+    return src.dim_service.where(raw & days).drop("evergent_order_id", "evergent_ord_prod_id")
 
 
 def fused_report(src: Sources, ctx: ReportContext) -> DataFrame:

@@ -76,7 +76,17 @@ def owner_keys(co: Cohorts, variants: list[Variant]) -> DataFrame:
 
 def _owners(co: Cohorts, variants: list[Variant]):
     """Steps 1-3: the history filter, the per-variant target test, the tagger
-    and the owners ``(_ov, _owner)`` — all from the day's service rows."""
+    and the owners ``(_ov, _owner)`` — all from the day's service rows.  Made
+    once per run; the bases are staged, so joins with them see a plain shuffle
+    on both sides and may split a hot account."""
+    made = co.__dict__.setdefault("_owners_made", {})
+    key = tuple(variants)
+    if key not in made:
+        made[key] = _make_owners(co, variants)
+    return made[key]
+
+
+def _make_owners(co: Cohorts, variants: list[Variant]):
     all_sub = sorted({p for v in variants for p in v.sub_products})
     all_hist = sorted({p for v in variants for p in v.history_products})
     in_history = P.product_in(*all_hist) & P.status_not_in(d.INACTIVE)
@@ -88,8 +98,8 @@ def _owners(co: Cohorts, variants: list[Variant]):
 
     current = co.not_test(co.current(P.product_in(*all_sub), P.status_not_in(*d.NOT_CURRENT)))
     current = setops.is_in(current, "account_id", candidates.select("account_id"))
-    bases = current.groupBy("account_id").agg(*[
-        F.max(P.product_in(*v.sub_products)).alias(f"_in_{v.name}") for v in variants])
+    bases = co.stage(current.groupBy("account_id").agg(*[
+        F.max(P.product_in(*v.sub_products)).alias(f"_in_{v.name}") for v in variants]))
 
     def tag(df: DataFrame) -> DataFrame:
         tags = F.array(*[F.when(F.col(f"_in_{v.name}") & P.product_in(*v.history_products),

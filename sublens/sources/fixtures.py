@@ -2,8 +2,9 @@
 
 The mapping is pure column arithmetic (no hashing, no randomness) so that a
 second engine given the same rules produces the same rows.  Every derived
-table is a projection of a whole driver table: its size grows with the scale
-factor exactly as the source does.
+table but the membership lists is a projection of a whole driver table, so its
+size grows with the scale factor exactly as the source does; the lists (test
+accounts, VIP accounts, promoted orders) hold a fixed share of their sources.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ SERVICE_BASE_DAY = "2024-01-01"
 OFFSET_CYCLE_DAYS = 60
 CALENDAR_FIRST = "2023-12-01"
 CALENDAR_LAST = "2024-12-31"
-CONTENT_KEYS = 200            # event_id % 200 is a part key at every scale
 FIXTURE_TODAY = dt.date(2024, 1, 31)
 FIXTURE_CAMPAIGN_FIRST = dt.date(2024, 1, 5)
 FIXTURE_CAMPAIGN_LAST = dt.date(2024, 1, 11)
@@ -129,10 +129,12 @@ def dim_content(part: DataFrame) -> DataFrame:
                        ctype.alias("content_type"), labels.alias("labels"))
 
 
-def fact_engagement(events: DataFrame) -> DataFrame:
+def fact_engagement(events: DataFrame, part: DataFrame) -> DataFrame:
+    """Content keys run over the whole part key range."""
+    keys = part.select(F.max("p_partkey") + 1).scalar()
     return events.select(
         F.col("user_id").alias("dim_account_key"),
-        (F.col("event_id") % CONTENT_KEYS).alias("dim_content_key"),
+        (F.col("event_id") % keys).alias("dim_content_key"),
         F.col("ts").alias("start_timestamp"),
         F.floor(F.col("value") * 10).cast("bigint").alias("play_seconds"),
     )
@@ -179,7 +181,7 @@ def load(spark: SparkSession, sf_dir: str) -> Sources:
         dim_date=dim_date(spark),
         dim_account=dim_account(customer),
         dim_content=dim_content(_read(spark, sf_dir, "part")),
-        fact_engagement=fact_engagement(_read(spark, sf_dir, "events")),
+        fact_engagement=fact_engagement(_read(spark, sf_dir, "events"), _read(spark, sf_dir, "part")),
         test_accounts=test_accounts(customer),
         vip=vip_table(customer),
         ev_op_promotions=ev_op_promotions(orders),
@@ -235,7 +237,7 @@ dim_content AS (
            CASE WHEN p_size % 2 = 0 THEN p_name || ',Neon' ELSE p_name END AS labels
     FROM part),
 fact_engagement AS (
-    SELECT user_id AS dim_account_key, event_id % {CONTENT_KEYS} AS dim_content_key,
+    SELECT user_id AS dim_account_key, event_id % (SELECT max(p_partkey) + 1 FROM part) AS dim_content_key,
            ts AS start_timestamp, CAST(floor(value * 10) AS BIGINT) AS play_seconds
     FROM events),
 test_accounts AS (

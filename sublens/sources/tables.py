@@ -6,7 +6,6 @@ after the scan so Parquet column pruning applies from the start.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +32,12 @@ COLUMNS = {
 }
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Through Spark's own file systems, so object stores work too."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 @dataclass(frozen=True)
 class Sources:
     """DataFrames for the twelve inputs of the report."""
@@ -56,8 +61,8 @@ class Sources:
         for every table, keeping only the columns the report uses."""
         frames = {}
         for f in fields(cls):
-            loc = os.path.join(path, f.name)
-            if not os.path.exists(loc) and os.path.exists(loc + ".parquet"):
+            loc = f"{path.rstrip('/')}/{f.name}"
+            if not _exists(spark, loc) and _exists(spark, loc + ".parquet"):
                 loc = loc + ".parquet"
             frames[f.name] = spark.read.parquet(loc).select(*COLUMNS[f.name])
         return cls(**frames)
@@ -73,8 +78,3 @@ class Sources:
         current = {f.name: getattr(self, f.name) for f in fields(self)}
         current.update(frames)
         return Sources(**current)
-
-    def register_views(self) -> None:
-        """Expose every input as a temp view named after the table."""
-        for f in fields(self):
-            getattr(self, f.name).createOrReplaceTempView(f.name)
