@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sublens.llm import decontaminate, mixing, quality, records, simhash
-from sublens.llm.common import stored, table
+from sublens.llm.common import discard, stored, table
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,5 +59,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if name != STAGES[0][0]:
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -188,17 +188,17 @@ def scan(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col:
     spark = docs.sparkSession
     none = pa.array([], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
     out = docs.withColumns({"_n_words": F.lit(0).cast("long"), "_spans": F.array().cast(SPANS),
-                            "_items": F.array().cast("array<string>"), "_bytes": text_bytes(F.col(text_col))})
+                            "_items": F.array().cast("array<string>")})
     schema = out.schema
 
     def step(built):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             automaton = built.value
-            for b in batches:
-                at = {n: b.schema.get_field_index(n) for n in ("_n_words", "_spans", "_items", "_bytes")}
+            for b in (whole.slice(i, 1024) for whole in batches for i in range(0, whole.num_rows, 1024)):
+                at = {n: b.schema.get_field_index(n) for n in ("_n_words", "_spans", "_items", text_col)}
                 counts, spans, names = [], [], []
-                for t, s, x in zip(b.column(at["_bytes"]), b.column(at["_spans"]), b.column(at["_items"]), strict=True):
-                    words = words_of(t.as_py())
+                for t, s, x in zip(b.column(at[text_col]), b.column(at["_spans"]), b.column(at["_items"]), strict=True):
+                    words = words_of((t.as_py() or "").encode())
                     found, hit = automaton.spans(words)
                     if s.as_py():
                         found = _merge(found, [[y["start"], y["end"]] for y in s.as_py()])
@@ -217,7 +217,7 @@ def scan(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col:
         groups += 1
     if not groups:                                   # no items: count words all the same
         out = out.mapInArrow(step(spark.sparkContext.broadcast(Automaton([], window))), schema)
-    return out.drop("_bytes")
+    return out
 
 
 def verdicts(scanned: DataFrame, coverage: tuple[int, int] = COVERAGE) -> DataFrame:

@@ -32,8 +32,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     if n > limit:
         given = given.filter(mix < int((1 << 30) * (limit / n)))
     src = docs.select(F.col(id_col).cast("long").alias("_id"), text_bytes(F.col(text_col)).alias("t"))
+    # about ``limit`` rows of two numbers: small enough to broadcast by design;
     # a document repeated under one id counts once
-    rows = src.join(given, "_id").select("_id", F.col("y").cast("int").alias("y"), "t")
+    rows = src.join(F.broadcast(given), "_id").select("_id", F.col("y").cast("int").alias("y"), "t")
     return rows.groupBy("_id", "y").agg(F.min("t").alias("t")).select("t", "y")
 
 

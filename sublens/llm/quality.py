@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sublens.llm.common import stored, text_bytes
+from sublens.llm.common import discard, stored
 from sublens.llm.linear import class_sizes, constant, count_features, fold, labelled_sample, platt, sigmoid
 
 SAMPLE = 20_000
@@ -179,23 +179,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["m"])
 
     numbered = rows.select("t", "y").mapInArrow(number, "x array<int>, y int")
-    return bytes(numbered.repartition(1).mapInArrow(learn, "m binary").first()["m"])
+    model = bytes(numbered.repartition(1).mapInArrow(learn, "m binary").first()["m"])
+    discard(rows, counted)
+    return model
 
 
 def score(docs: DataFrame, model: bytes, text_col: str = "text", out_col: str = "score") -> DataFrame:
     """docs with the score of every row (0 to 1)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    src = docs.withColumn(out_col, text_bytes(F.col(text_col)))
-    schema = docs.withColumn(out_col, F.lit(0.0)).schema
+    src = docs.withColumn(out_col, F.lit(0.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = pickle.loads(shared.value)
-        for b in batches:
-            at = b.schema.get_field_index(out_col)
-            s = [m.score(t.as_py().decode()) for t in b.column(at)]
-            yield b.set_column(at, out_col, pa.array(s, pa.float64()))
+        for whole in batches:
+            text, at = whole.schema.get_field_index(text_col), whole.schema.get_field_index(out_col)
+            for b in (whole.slice(i, 1024) for i in range(0, whole.num_rows, 1024)):
+                s = [m.score(t.as_py() or "") for t in b.column(text)]
+                yield b.set_column(at, out_col, pa.array(s, pa.float64()))
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, src.schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 4, held: int = 2,
