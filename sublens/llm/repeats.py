@@ -3,7 +3,8 @@
 A byte goes if it lies in a string of ``length`` bytes that also starts in a
 document with a smaller id.  Documents are never joined into one text:
 
-1. Every window of ``length`` bytes has a key, the smallest hash of the
+1. Texts that a smaller id has whole (by 128 bits of hash) repeat whole; the
+   steps below go on without them.  Every window of ``length`` bytes has a key, the smallest hash of the
    ``GRAM``-byte strings inside it, so equal windows have equal keys wherever
    they stand.  A segment is a run of windows with the same key.
 2. Keys that only one document has cannot belong to a repeat.  They are found
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sublens.llm.common import checkpointed, stored, text_bytes
+from sublens.llm.common import checkpointed, discard, stored, text_bytes
 from sublens.llm.suffix import permuted_common_prefixes, suffix_array
 
 LENGTH = 50
@@ -97,85 +98,99 @@ def _source(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(_order(id_col).alias("o"), F.xxhash64(t).alias("h"), t.alias("t"))
 
 
-def _shared_keys(src: DataFrame, length: int) -> DataFrame:
-    """(o, h, keys): of each document the keys that another id has too."""
+def _copies(src: DataFrame) -> DataFrame:
+    """(o, h, size) of the texts that a smaller id has whole: they repeat from
+    end to end, and what else has their passages meets the smaller id."""
+    rows = src.select("o", "h", F.xxhash64("t", F.lit(1)).alias("h2"), F.octet_length("t").alias("size"))
+    rows = checkpointed(rows.distinct())
+    first = checkpointed(rows.groupBy("h", "h2", "size").agg(F.min("o").alias("first"), F.count("*").alias("n")).filter("n > 1"))
+    return rows.join(first, ["h", "h2", "size"]).filter("o > first").select("o", "h", "size")
+
+
+def _short(keys: np.ndarray, blocks: int) -> np.ndarray:
+    """Block and 32 bits of a key as one number.  A block holds a few million keys
+    at any size of the input, so chance agreements stay rare; they only make
+    a segment take part for nothing."""
+    return (((keys >> U(33)) % U(blocks)) << U(32)) | (keys & U(0xFFFFFFFF))
+
+
+def _blocks(src: DataFrame) -> int:
     size = src.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
-    blocks = int(-(-size * 8 // (13 * BLOCK_BYTES))) or 1     # a key for each 13 bytes or so
+    return int(-(-size * 8 // (13 * BLOCK_BYTES))) or 1       # a key for each 13 bytes or so
+
+
+def _shared_keys(src: DataFrame, length: int, blocks: int) -> DataFrame:
+    """(o, keys): of each id the (short) keys that another id has too."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in (whole.slice(i, 512) for i in range(0, whole.num_rows, 512)):
+            for b in (whole.slice(i, 2048) for i in range(0, whole.num_rows, 2048)):
                 ids = b.column(0).to_numpy()
-                keys = [np.unique(window_keys(t.as_py(), length)) for t in b.column(2)]
+                keys = [np.unique(_short(window_keys(t.as_py(), length), blocks)) for t in b.column(2)]
                 doc = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
                 key = np.concatenate(keys)
-                part = (key >> U(33)) % U(blocks)
-                order = np.argsort(part, kind="stable")
-                cut = np.searchsorted(part[order], np.arange(blocks + 1, dtype=U))
+                part = (key >> U(32)).astype(np.int64)
+                order = np.argsort(part, kind="stable")       # by block, then by document
+                part, doc, key = part[order], doc[order], key[order]
+                cut = np.searchsorted(part, np.arange(blocks + 1)).tolist()
                 rows = []
-                for p in range(blocks):
-                    at = order[cut[p]:cut[p + 1]]
-                    if len(at):
-                        rows.append((p, key[at], *np.unique(doc[at], return_inverse=True)))
+                for p, (lo, hi) in enumerate(zip(cut, cut[1:], strict=False)):
+                    if hi > lo:
+                        docs, counts = np.unique(doc[lo:hi], return_counts=True)
+                        rows.append((p, ids[docs].tobytes(), counts.astype(np.uint32).tobytes(),
+                                     key[lo:hi].astype(np.uint32).tobytes()))
                 if rows:
-                    o, h = ids, b.column(1).to_numpy()
+                    p, *cols = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([r[0] for r in rows], pa.int32()),
-                         pa.array([o[r[2]].tobytes() for r in rows], pa.binary()),
-                         pa.array([h[r[2]].tobytes() for r in rows], pa.binary()),
-                         pa.array([r[3].astype(np.uint16).tobytes() for r in rows], pa.binary()),
-                         pa.array([r[1].tobytes() for r in rows], pa.binary())],
-                        ["p", "o", "h", "doc", "key"])
+                        [pa.array(p, pa.int32()), *(pa.array(c, pa.binary()) for c in cols)], ["p", "o", "n", "key"])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
         for b in batches:
-            for p, *x in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+            for p, *x in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 held.setdefault(p, []).append(x)
-        for rows in held.values():
-            keys = np.concatenate([np.frombuffer(r[3], dtype=U) for r in rows])
-            which = [np.frombuffer(r[2], dtype=np.uint16) for r in rows]
-            o = np.concatenate([np.frombuffer(r[0], dtype=np.int64)[w] for r, w in zip(rows, which, strict=True)])
-            h = np.concatenate([np.frombuffer(r[1], dtype=np.int64)[w] for r, w in zip(rows, which, strict=True)])
+        for p, rows in held.items():
+            keys = np.concatenate([np.frombuffer(r[2], dtype=np.uint32) for r in rows])
+            o = np.concatenate([np.repeat(np.frombuffer(r[0], dtype=np.int64), np.frombuffer(r[1], dtype=np.uint32))
+                                for r in rows])
             order = np.argsort(keys, kind="stable")
-            k = keys[order]
+            k, oo = keys[order], o[order]
             start = np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1])
-            low, high = np.minimum.reduceat(o[order], start), np.maximum.reduceat(o[order], start)
+            low, high = np.minimum.reduceat(oo, start), np.maximum.reduceat(oo, start)
             many = np.repeat(low != high, np.diff(np.append(start, len(k))))
-            at = order[many]
-            at = at[np.lexsort((h[at], o[at]))]
-            for i in range(0, len(at), 1 << 16):
-                some = at[i:i + (1 << 16)]
-                oo, hh, kk = o[some], h[some], keys[some].view(np.int64)
-                cut = np.flatnonzero((oo[1:] != oo[:-1]) | (hh[1:] != hh[:-1])) + 1
-                first = np.concatenate([[0], cut])
+            k, oo = k[many], oo[many]
+            order = np.argsort(oo, kind="stable")
+            k, oo = k[order].astype(np.int64) | (p << 32), oo[order]
+            for i in range(0, len(oo), 1 << 16):
+                some, own = k[i:i + (1 << 16)], oo[i:i + (1 << 16)]
+                first = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(oo[first]), pa.array(hh[first]),
-                     pa.ListArray.from_arrays(pa.array(np.append(first, len(oo)), pa.int32()), pa.array(kk))],
-                    ["o", "h", "keys"])
+                    [pa.array(own[first]),
+                     pa.ListArray.from_arrays(pa.array(np.append(first, len(own)), pa.int32()), pa.array(some))],
+                    ["o", "keys"])
 
-    packed = src.mapInArrow(emit, "p int, o binary, h binary, doc binary, key binary")
-    found = packed.repartitionById(blocks, F.col("p")).mapInArrow(find, "o long, h long, keys array<long>")
-    return found.groupBy("o", "h").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+    packed = src.mapInArrow(emit, "p int, o binary, n binary, key binary")
+    found = packed.repartitionById(blocks, F.col("p")).mapInArrow(find, "o long, keys array<long>")
+    return found.groupBy("o").agg(F.flatten(F.collect_list("keys")).alias("keys"))
 
 
 OCCURRENCES = "o long, h long, key long, content long, start int, size int, segment binary"
 
 
-def _occurrences(src: DataFrame, shared: DataFrame, length: int) -> DataFrame:
+def _occurrences(src: DataFrame, shared: DataFrame, length: int, blocks: int) -> DataFrame:
     """A row for each segment with a shared key: where it is, what it is.  The
     bytes come with its first row in a batch only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in (whole.slice(i, 512) for i in range(0, whole.num_rows, 512)):
+            for b in (whole.slice(i, 2048) for i in range(0, whole.num_rows, 2048)):
                 rows, seen = [], set()
                 for o, h, t, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
                     data = t.as_py()
                     keys = window_keys(data, length)
                     first, stop = segments(keys)
                     own = keys[first]
-                    take = np.isin(own, np.asarray(wanted.values, dtype=np.int64).view(U))
+                    take = np.isin(_short(own, blocks), np.asarray(wanted.values, dtype=np.int64).view(U))
                     for k, s, e in zip(own[take].view(np.int64).tolist(), first[take].tolist(), stop[take].tolist(), strict=True):
                         seg = data[s:e + length - 1]
                         c = xxhash.xxh3_64_intdigest(seg)
@@ -190,7 +205,7 @@ def _occurrences(src: DataFrame, shared: DataFrame, length: int) -> DataFrame:
                         [pa.array(c, x) for c, x in zip(cols, types, strict=True)],
                         [x.split(" ")[0] for x in OCCURRENCES.split(", ")])
 
-    joined = src.join(shared, ["o", "h"]).select("o", "h", "t", "keys")
+    joined = src.join(shared, "o").select("o", "h", "t", "keys")
     return joined.mapInArrow(run, OCCURRENCES)
 
 
@@ -226,8 +241,12 @@ def shard_covers(parts: list[bytes], owners: np.ndarray, length: int = LENGTH) -
     lowest = np.empty(len(t), dtype=np.int64)
     lowest[sa] = np.repeat(np.minimum.reduceat(owner[sa], first), np.diff(np.append(first, len(sa))))
     hit = lowest < owner
-    begins = ends - sizes
-    return [runs(hit[b:e - length + 1], length) for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]
+    begins, stops = ends - sizes, ends - length + 1
+    before = np.concatenate([[0], np.cumsum(hit)])
+    out: list[list[dict]] = [[]] * len(parts)
+    for i in np.flatnonzero(before[stops] > before[begins]).tolist():     # most segments have no hit
+        out[i] = runs(hit[begins[i]:stops[i]], length)
+    return out
 
 
 def _covers(segs: DataFrame, length: int) -> DataFrame:
@@ -278,9 +297,13 @@ def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
     o orders the ids, h is xxhash64 of the text's bytes."""
     if length < GRAM + 8:
         raise ValueError(f"length must be {GRAM + 8} or more")
-    src = _source(df, id_col, text_col)
-    shared = stored(_shared_keys(src, length), "repeat-keys")
-    found = stored(_occurrences(src, shared, length), "repeat-segments")
+    everything = _source(df, id_col, text_col)
+    copies = stored(_copies(everything), "repeat-copies")
+    src = everything.join(copies.select("o", "h"), ["o", "h"], "left_anti")
+    blocks = _blocks(src)
+    shared = stored(_shared_keys(src, length, blocks), "repeat-keys")
+    found = stored(_occurrences(src, shared, length, blocks), "repeat-segments")
+    discard(shared)
     segs = stored(found.groupBy("key", "content").agg(
         F.min("o").alias("owner"), F.max("segment").alias("segment")), "repeat-owners")
     # other segments of the same key decide; how many there are decides the way
@@ -292,13 +315,17 @@ def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
     else:
         cover = _covers(segs, length)
     cover = stored(cover, "repeat-covers")
+    discard(segs)
     at = F.when(F.col("owner") < F.col("o"), F.array(F.struct(
         F.col("start"), (F.col("start") + F.col("size")).alias("end")))).otherwise(
         F.transform("cover", lambda c: F.struct((c["start"] + F.col("start")).alias("start"),
                                                 (c["end"] + F.col("start")).alias("end"))))
     hits = found.select("o", "h", "key", "content", "start", "size").join(cover, ["key", "content"]).select(
         "o", "h", at.alias("s")).filter(F.size("s") > 0)
-    return hits.groupBy("o", "h").agg(F.flatten(F.collect_list("s")).alias("spans"))
+    out = stored(hits.groupBy("o", "h").agg(F.flatten(F.collect_list("s")).alias("spans")), "repeat-spans")
+    discard(found, cover)
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.col("size").cast("int").alias("end")))
+    return out.unionByName(copies.filter(F.col("size") >= length).select("o", "h", whole.cast(COVER).alias("spans")))
 
 
 def merged(found: list[dict]) -> list[tuple[int, int]]:
@@ -316,7 +343,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                    hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """(id_col, n_bytes, removed, kept) for every row: the removed spans (start,
     end) and the bytes that stay (they need not be valid UTF-8)."""
-    found = stored(spans(df, id_col, text_col, length, hot_segments), "repeat-spans")
+    found = spans(df, id_col, text_col, length, hot_segments)
     t = text_bytes(F.col(text_col))
     rows = df.select(F.col(id_col).cast("long").alias("id"), _order(id_col).alias("o"),
                      F.xxhash64(t).alias("h"), t.alias("t"))
