@@ -158,20 +158,37 @@ def _shared_keys(src: DataFrame, length: int, blocks: int) -> DataFrame:
             start = np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1])
             low, high = np.minimum.reduceat(oo, start), np.maximum.reduceat(oo, start)
             many = np.repeat(low != high, np.diff(np.append(start, len(k))))
-            k, oo = k[many], oo[many]
-            order = np.argsort(oo, kind="stable")
-            k, oo = k[order].astype(np.int64) | (p << 32), oo[order]
-            for i in range(0, len(oo), 1 << 16):
-                some, own = k[i:i + (1 << 16)], oo[i:i + (1 << 16)]
-                first = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
+            k, oo = k[many].astype(np.int64) | (p << 32), oo[many]
+            to = (oo.astype(U) * MIX[0] >> U(33)) % U(blocks)          # by document from here on
+            order = np.lexsort((oo, to))
+            k, oo, to = k[order], oo[order], to[order]
+            cut = np.flatnonzero(to[1:] != to[:-1]) + 1
+            edges = [0, *cut.tolist(), len(k)] if len(k) else []
+            for lo, hi in zip(edges, edges[1:], strict=False):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[first]),
-                     pa.ListArray.from_arrays(pa.array(np.append(first, len(own)), pa.int32()), pa.array(some))],
-                    ["o", "keys"])
+                    [pa.array([int(to[lo])], pa.int32()), pa.array([oo[lo:hi].tobytes()], pa.binary()),
+                     pa.array([k[lo:hi].tobytes()], pa.binary())], ["p", "o", "key"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(x, y) for b in batches for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+        if not rows:
+            return
+        o = np.concatenate([np.frombuffer(x, dtype=np.int64) for x, _ in rows])
+        k = np.concatenate([np.frombuffer(y, dtype=np.int64) for _, y in rows])
+        order = np.argsort(o, kind="stable")
+        o, k = o[order], k[order]
+        first = np.concatenate([[0], np.flatnonzero(o[1:] != o[:-1]) + 1])
+        ends = np.append(first, len(o))
+        for i in range(0, len(first), 4096):
+            lo, hi = ends[i], ends[min(i + 4096, len(first))]
+            at = ends[i:min(i + 4096, len(first)) + 1] - lo
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(o[first[i:i + 4096]]),
+                 pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(k[lo:hi]))], ["o", "keys"])
 
     packed = src.mapInArrow(emit, "p int, o binary, n binary, key binary")
-    found = packed.repartitionById(blocks, F.col("p")).mapInArrow(find, "o long, keys array<long>")
-    return found.groupBy("o").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+    found = packed.repartitionById(blocks, F.col("p")).mapInArrow(find, "p int, o binary, key binary")
+    return found.repartitionById(blocks, F.col("p")).mapInArrow(gather, "o long, keys array<long>")
 
 
 OCCURRENCES = "o long, h long, key long, content long, start int, size int, segment binary"

@@ -85,3 +85,10 @@ def test_shard_covers():
     assert repeats.shard_covers([a, b], np.array([1, 2])) == [[], [{"start": 2, "end": 62}]]
     assert repeats.shard_covers([a, b], np.array([5, 2])) == [[{"start": 30, "end": 90}], []]
     assert repeats.shard_covers([a, a], np.array([3, 3])) == [[], []]
+
+
+def test_many_blocks_of_keys(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 20_000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert repeats._blocks(repeats._source(docs, "doc_id", "text")) > 10
+    assert got(docs) == plain([(r["doc_id"], r["text"]) for r in docs.collect()])
