@@ -45,7 +45,7 @@ def drop_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     # a page once, with the number of times it is there
     rows = stored(rows.groupBy("id", "host", "k", "k2").agg(F.min("t").alias("t"), F.count("*").alias("copies")), "site-pages")
     lines = rows.select("id", "host", "k", "k2", F.posexplode(F.split("t", "\n")).alias("at", "raw")).withColumn(
-        "line", F.trim("raw"))
+        "line", F.trim("raw")).filter("line <> ''")
     a, b = _line_keys(F.col("line"))
     found = rows.select("host", F.explode(F.array_distinct(F.transform(F.split("t", "\n"), F.trim))).alias("line")).filter(
         "line <> ''").select("host", a, b).groupBy("host", "a", "b").agg(F.count("*").alias("n"))
@@ -54,17 +54,18 @@ def drop_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     common = stored(found.filter(F.col("n") > ratio * min_pages), "site-common")
     bad = stored(common.join(totals, "host").filter(F.col("n") > F.lit(ratio) * F.col("pages")).select(
         "host", "a", "b", F.lit(True).alias("bad")), "site-boilerplate")
-    marked = lines.select("id", "host", "k", "k2", "at", "raw", a, b, (F.col("line") == "").alias("blank")).join(
-        bad, ["host", "a", "b"], "left")
-    one = F.struct("at", "raw", F.coalesce("bad", F.lit(False)).alias("bad"), "blank")
-    page = marked.groupBy("id", "host", "k", "k2").agg(F.array_sort(F.collect_list(one)).alias("ls"))
-    counted = rows.select("id", "host", "k", "k2", "copies").alias("r").join(
-        page.alias("p"), F.col("r.id").eqNullSafe(F.col("p.id")) & (F.col("r.host") == F.col("p.host"))
-        & (F.col("r.k") == F.col("p.k")) & (F.col("r.k2") == F.col("p.k2"))).select("r.*", "p.ls")
-    stay = F.filter("ls", lambda x: ~x["bad"])
-    some = F.exists(stay, lambda x: ~x["blank"])
+    # only places and hashes travel, not the lines
+    hits = lines.select("id", "host", "k", "k2", "at", a, b).join(bad, ["host", "a", "b"]).groupBy(
+        "id", "host", "k", "k2").agg(F.collect_list("at").alias("gone"))
+    counted = rows.alias("r").join(
+        hits.alias("p"), F.col("r.id").eqNullSafe(F.col("p.id")) & (F.col("r.host") == F.col("p.host"))
+        & (F.col("r.k") == F.col("p.k")) & (F.col("r.k2") == F.col("p.k2")), "left").select(
+        "r.id", "r.host", "r.copies", F.split("r.t", "\n").alias("ls"),
+        F.coalesce("p.gone", F.array().cast("array<int>")).alias("gone"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("ls") - 1), "gone")
+    counted = counted.withColumn("stay", F.transform(left, lambda i: F.get("ls", i)))
     out = counted.select(
-        F.col("id").alias(id_col), "host", F.size(F.filter("ls", lambda x: ~x["blank"])).cast("long").alias("n_lines"),
-        F.size(F.filter("ls", lambda x: x["bad"])).cast("long").alias("n_dropped"),
-        F.when(some, F.array_join(F.transform(stay, lambda x: x["raw"]), "\n")).otherwise("").alias("text"), "copies")
+        F.col("id").alias(id_col), "host", F.size(F.filter("ls", lambda x: F.trim(x) != "")).cast("long").alias("n_lines"),
+        F.size("gone").cast("long").alias("n_dropped"),
+        F.when(F.exists("stay", lambda x: F.trim(x) != ""), F.array_join("stay", "\n")).otherwise("").alias("text"), "copies")
     return out.withColumn("_c", F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int")))).drop("_c", "copies")
