@@ -3,18 +3,19 @@
 A labelled table trains a domain classifier: multinomial Naive Bayes over word
 hashes (``BUCKETS`` of them).  A document's log-likelihood counts for at most ``TRUST``
 words, so short and mixed texts keep a soft posterior.  With n tokens and posterior
-p of each document, nonnegative rates r solve the least-squares problem
+p of each document, the rates r nearest to 1 solve the least-squares problem
 
-    minimise |sum of r n p - target tokens per domain|^2,  0 <= r <= MAX_RATE
+    minimise |sum of r n p - target tokens per domain|^2,  least <= r <= MAX_RATE
 
-by projected gradient steps from r = 1.  Each step is one distributed aggregate
-(a vector and a matrix of the number of domains); the residual alone moves every rate,
-so no rate is stored between steps.  Steps are scaled by the matrix of the rows
-that are not at their bound, or, if that does not help, by the largest row sum
-of the matrix of all rows, which always does unless the problem is solved.
+Nearest means the least sum of n (r - 1)^2, so a row's rate is 1 + p.x cut to its bounds, with one
+vector x of the number of domains for all rows.  x is found by Newton steps with a
+line search on the dual problem, which is convex and smooth; each evaluation is one distributed
+aggregate (a vector and a matrix of the number of domains), and no rate is stored between steps.
 
-Without a total, the target is the smallest one that cuts no domain below what
-it has now, and a little more, so that rates stay at 1 or more and no row is lost.  ``copies`` makes the rate an
+With a total, rates are 0 or more.  Without one no row is lost: rates are 1 or more, and the
+target is the smallest total that cuts no domain below what it has now, and a little
+more; where soft rows make that unreachable with rates of 1 or more, the total rises (it is one more
+variable of the problem, dear beside the rates).  ``copies`` makes the rate an
 integer: its floor, plus one by a hash of the id with the remaining chance.
 
 Defined cases: NULL text has no words: no tokens, the prior as posterior.
@@ -38,7 +39,9 @@ TRUST = 30
 SAMPLE = 20_000               # labelled rows the classifier is fitted to
 HEADROOM = 1.02               # of the default total: soft members of a domain stay whole too
 MAX_RATE = 16.0               # no row is repeated more often than this
-STEPS = 40
+RISE = 1000.0                 # price of a higher default total beside that of higher rates
+RIDGE = 1e-12                 # of all tokens, on x: keeps it finite where targets are out of reach
+STEPS = 60                    # evaluations of the dual problem
 TOLERANCE = 1e-7              # of the total, where the steps end
 TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
 
@@ -98,6 +101,10 @@ def posteriors(df: DataFrame, model: tuple[list[float], list[float]], text_col:
     return out.withColumn("_p", F.transform("_e", lambda x: x / total)).drop("_s", "_log", "_e")
 
 
+def _dot(a: list[float], b: list[float]) -> float:
+    return sum(x * y for x, y in zip(a, b, strict=True))
+
+
 def _solve(m: list[list[float]], v: list[float]) -> list[float]:
     """x with m x = v, by elimination with pivots; a tiny ridge keeps it regular."""
     n = len(v)
@@ -113,60 +120,74 @@ def _solve(m: list[list[float]], v: list[float]) -> list[float]:
     return [a[i][n] / a[i][i] if a[i][i] else 0.0 for i in range(n)]
 
 
-def rate(moves: list[list[float]]) -> Column:
-    """A row's rate after the steps taken so far (an expression whose size does
-    not grow with them)."""
-    if not moves:
-        return F.lit(1.0)
-    taken = F.from_json(F.lit(json.dumps(moves)), "array<array<double>>")
+def _free_rate(x: list[float]) -> Column:
+    """1 + p.x: a row's rate if it had no bounds."""
+    return sum((F.get("_p", F.lit(i)) * F.lit(v) for i, v in enumerate(x)), F.lit(1.0))
 
-    def step(r: Column, g: Column) -> Column:
-        dot = sum((F.get("_p", F.lit(i)) * F.get(g, F.lit(i)) for i in range(len(moves[0]))), F.lit(0.0))
-        return F.least(F.lit(MAX_RATE), F.greatest(F.lit(0.0), r - dot))
 
-    return F.aggregate(taken, F.lit(1.0), step)
+def rate(solved: tuple[float, list[float]]) -> Column:
+    """A row's rate, from its least value and x."""
+    least, x = solved
+    return F.least(F.lit(MAX_RATE), F.greatest(F.lit(least), _free_rate(x)))
 
 
 def solve_rates(rows: DataFrame, weights: list[float], total: float | None = None,
-                steps: int = STEPS) -> list[list[float]]:
-    """The moves of the projected gradient for rows with _n and _p."""
+                steps: int = STEPS) -> tuple[float, list[float]]:
+    """Least rate and x for rows with _n and _p."""
     d = len(weights)
     weights = [w / sum(weights) for w in weights]
+    least = 1.0 if total is None else 0.0
+    p = [F.get("_p", F.lit(i)) for i in range(d)]
 
-    def measure(moves: list[list[float]]) -> tuple[list[float], list[list[float]]]:
-        """Expected tokens of each domain, and the matrix over rows not at a bound."""
-        r = rows.withColumn("_r", rate(moves))
-        p = [F.get("_p", F.lit(i)) for i in range(d)]
+    def measure(x: list[float]) -> tuple[list[float], list[list[float]], float, float]:
+        """Expected tokens of each domain, the matrix over rows not cut to a bound,
+        the rows' part of the dual problem, and the tokens as they are."""
+        r = rows.withColumns({"_free": _free_rate(x), "_r": rate((least, x))})
         got = r.agg(
             *[F.sum(F.col("_r") * F.col("_n") * p[i]).alias(f"a{i}") for i in range(d)],
-            *[F.sum(F.when((F.col("_r") > 0) & (F.col("_r") < MAX_RATE), F.col("_n") * p[i] * p[j])).alias(f"m{i}_{j}")
-              for i in range(d) for j in range(i, d)]).first()
+            *[F.sum(F.when(F.col("_r") == F.col("_free"), F.col("_n") * p[i] * p[j])).alias(f"m{i}_{j}")
+              for i in range(d) for j in range(i, d)],
+            F.sum(F.col("_n") * F.col("_r") * (F.col("_free") - F.col("_r") / 2)).alias("dual"),
+            F.sum("_n").alias("n")).first()
         return ([got[f"a{i}"] or 0.0 for i in range(d)],
-                [[got[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(d)] for i in range(d)])
-
-    moves: list[list[float]] = []
-    have, matrix = measure(moves)
-    if not sum(have):
-        return moves
-    if total is None:
-        total = HEADROOM * max(h / w for h, w in zip(have, weights, strict=True) if w)
-    target = [w * total for w in weights]
-    error = [h - t for h, t in zip(have, target, strict=True)]
-    scale = max(sum(abs(x) for x in row) for row in matrix)          # of all rows: r is 1
-    for _ in range(steps):
-        size = math.sqrt(sum(e * e for e in error))
-        if size <= TOLERANCE * total:
-            break
-        for move in (_solve(matrix, error), [e / scale for e in error]):
-            have, new_matrix = measure([*moves, move])
-            new = [h - t for h, t in zip(have, target, strict=True)]
-            if math.sqrt(sum(e * e for e in new)) < size * (1 - 1e-9):
-                moves.append(move)
-                error, matrix = new, new_matrix
-                break
-        else:
-            break                                    # no step helps: the bounds are reached
-    return moves
+                [[got[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(d)] for i in range(d)],
+                got["dual"] or 0.0, float(got["n"] or 0))
+
+    x = [0.0] * d
+    at_start = measure(x)
+    have, _, _, tokens = at_start
+    if not tokens:
+        return least, x
+    ridge = RIDGE * tokens
+    start = total if total is not None else HEADROOM * max(h / w for h, w in zip(have, weights, strict=True) if w)
+    price = RISE * tokens / start ** 2 if start else 0.0
+
+    def dual(x: list[float], measured) -> tuple[float, list[float], list[list[float]], float]:
+        """Value, slope and curvature at x, and the total there."""
+        have, matrix, value, _ = measured
+        rise = max(0.0, -_dot(weights, x) / price) if total is None else 0.0
+        value += ridge / 2 * _dot(x, x) - start * _dot(weights, x) + price / 2 * rise * rise
+        slope = [h + ridge * v - (start + rise) * w for h, v, w in zip(have, x, weights, strict=True)]
+        curve = [[matrix[i][j] + (ridge if i == j else 0.0) + (weights[i] * weights[j] / price if rise else 0.0)
+                  for j in range(d)] for i in range(d)]
+        return value, slope, curve, start + rise
+
+    value, slope, curve, aim = dual(x, at_start)
+    taken = 1
+    while taken < steps and (size := math.sqrt(_dot(slope, slope))) > TOLERANCE * aim:
+        move = [-v for v in _solve(curve, slope)]
+        downhill, part, found = _dot(slope, move), 1.0, None
+        while found is None and taken < steps and part > 1e-9:
+            trial = [v + part * m for v, m in zip(x, move, strict=True)]
+            new = dual(trial, measure(trial))
+            taken += 1
+            if new[0] <= value + 1e-4 * part * downhill or _dot(new[1], new[1]) < (0.9 * size) ** 2:
+                found = trial
+            part /= 4
+        if found is None:
+            break                                    # no step helps: as near as doubles get
+        x, (value, slope, curve, aim) = found, new
+    return least, x
 
 
 def copies(id_col: str = "doc_id") -> Column:
@@ -184,8 +205,8 @@ def rated(df: DataFrame, docs: DataFrame, labelled: DataFrame, domain_col: str =
     model = fit_domains(labelled_rows(docs, labelled, domain_col, SAMPLE, id_col, text_col), list(targets))
     rows = posteriors(df, model, text_col).select(*(keep or df.columns), "_n", "_p")
     rows = stored(rows, "mixing-posteriors")
-    moves = solve_rates(rows, list(targets.values()), total)
-    return rows.withColumn("_rate", rate(moves))
+    solved = solve_rates(rows, list(targets.values()), total)
+    return rows.withColumn("_rate", rate(solved))
 
 
 def mix(df: DataFrame, docs: DataFrame, labelled: DataFrame, domain_col: str = "lang",

@@ -72,6 +72,24 @@ def test_rates_solve_the_least_squares_problem(spark, weights, total):
     assert np.linalg.norm(a @ r - w * t) <= best + 0.02 * t
 
 
+@pytest.mark.parametrize("soft", [0.05, 1.0])
+def test_default_total_loses_no_row_beside_soft_posteriors(spark, soft):
+    """Scarce domains are lifted through mixed rows; rates of the large one stay 1 or more and targets are met."""
+    rng = np.random.default_rng(3)
+    p = np.eye(4)[rng.choice(4, 2000, p=np.array([70, 10, 10, 5]) / 95)]
+    mixed = rng.random(2000) < soft
+    p[mixed] = rng.dirichlet([2, 0.5, 0.5, 0.5], mixed.sum())
+    n = rng.integers(1, 400, 2000).astype(float)
+    rows = spark.createDataFrame([(i, float(a), b.tolist()) for i, (a, b) in enumerate(zip(n, p, strict=True))],
+                                 "doc_id long, _n double, _p array<double>")
+    out = rows.withColumn("_rate", mixing.rate(mixing.solve_rates(rows, [0.4, 0.2, 0.2, 0.2])))
+    got = out.orderBy("doc_id").select("_rate", mixing.copies().alias("c")).collect()
+    r = np.array([x["_rate"] for x in got])
+    assert (r >= 1).all() and all(x["c"] >= 1 for x in got)
+    if soft < 1:
+        assert np.allclose((r * n) @ p / (r @ n), [0.4, 0.2, 0.2, 0.2], atol=1e-5)
+
+
 def test_edge_cases(spark):
     docs = spark.createDataFrame(
         [(1, None, "x", 5), (2, "", "y", 6), (2, "", "y", 6), (None, "der die das", None, 7), (4, "the of " * 50_000, "z", 8)],

@@ -1,5 +1,7 @@
 """The pipeline's stages against plain versions of what they must do."""
 
+import random
+
 import corpus_pipeline
 from pyspark.sql import functions as F
 
@@ -58,3 +60,21 @@ def test_run_on_edge_rows(spark, tmp_path):
         out = corpus_pipeline.run(spark, str(d))
         assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
         out.collect()
+
+
+def test_mixture_keeps_every_id_beside_soft_documents(spark, tmp_path):
+    """Short and mixed texts get soft posteriors; no document of the large language may go for them."""
+    rng = random.Random(4)
+    words = {d: [f"{d}{i}" for i in range(60)] for d in ("en", "de", "fr", "es")}
+    rows = []
+    for i in range(1500):
+        lang = rng.choices(list(words), [70, 10, 10, 5])[0]
+        if i % 5:
+            text = rng.choices(words[lang], k=60)
+        else:                                            # one or two words of each of two languages
+            text = [rng.choice(words[d]) for d in ("en", rng.choice(["de", "fr", "es"]))]
+        rows.append((i, " ".join(text), lang, "a", 0))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(str(tmp_path / "labels.parquet"))
+    out = corpus_pipeline.mixture(spark, df, str(tmp_path))
+    assert {r[0] for r in out.select("doc_id").collect()} == set(range(1500))
