@@ -5,9 +5,9 @@ hashes (``BUCKETS`` of them).  A document's log-likelihood counts for at most ``
 words, so short and mixed texts keep a soft posterior.  With n tokens and posterior
 p of each document, the rates r nearest to 1 solve the least-squares problem
 
-    minimise |sum of r n p - target tokens per domain|^2,  least <= r <= MAX_RATE
+    minimise |sum of r n p - target tokens per domain|^2,  r >= least
 
-Nearest means the least sum of n (r - 1)^2, so a row's rate is 1 + p.x cut to its bounds, with one
+Nearest means the least sum of n (r - 1)^2, so a row's rate is 1 + p.x, or ``least`` if that is more, with one
 vector x of the number of domains for all rows.  x is found by Newton steps with a
 line search on the dual problem, which is convex and smooth; each evaluation is one distributed
 aggregate (a vector and a matrix of the number of domains), and no rate is stored between steps.
@@ -15,10 +15,14 @@ aggregate (a vector and a matrix of the number of domains), and no rate is store
 With a total, rates are 0 or more.  Without one no row is lost: rates are 1 or more, and the
 target is the smallest total that cuts no domain below what it has now, and a little
 more; where soft rows make that unreachable with rates of 1 or more, the total rises (it is one more
-variable of the problem, dear beside the rates).  ``copies`` makes the rate an
+variable of the problem, dear beside the rates).  Rates have no upper bound: a scarce domain is
+repeated as often as its target asks.  Whatever the rates, a domain's share is at most the
+largest posterior any row has for it; a domain for which that is under a thousandth of its target (ABSENT)
+is left as it is, and the others meet their targets as parts of the total.  Targets that
+are missed are named in a warning.  ``copies`` makes the rate an
 integer: its floor, plus one by a hash of the id with the remaining chance.
 
-Defined cases: NULL text has no words: no tokens, the prior as posterior.
+Defined cases: NULL text has no words: no tokens, the prior as posterior, rate 1.
 Labelled rows with a NULL or unlisted domain are left out; a domain without
 labelled rows gets smoothed counts.  A NULL id hashes like 0.  Repeated rows get
 equal rates.  Without tokens all rates are 1.
@@ -28,6 +32,7 @@ from __future__ import annotations
 
 import json
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,10 +43,14 @@ BUCKETS = 1024
 TRUST = 30
 SAMPLE = 20_000               # labelled rows the classifier is fitted to
 HEADROOM = 1.02               # of the default total: soft members of a domain stay whole too
-MAX_RATE = 16.0               # no row is repeated more often than this
+MAX_RATE = math.inf           # rates have no upper bound
+ABSENT = 1e-3                 # of its target: a domain whose largest posterior is less has no rows
+MISSED = 1e-3                 # of all tokens: a share further off its target is warned of
+BLOCK = 4096                  # copies of a row that are made at a time
 RISE = 1000.0                 # price of a higher default total beside that of higher rates
 RIDGE = 1e-12                 # of all tokens, on x: keeps it finite where targets are out of reach
 STEPS = 60                    # evaluations of the dual problem
+SEARCH = 24                   # points of a move that one aggregate of the line search looks at
 TOLERANCE = 1e-7              # of the total, where the steps end
 TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
 
@@ -128,7 +137,7 @@ def _free_rate(x: list[float]) -> Column:
 def rate(solved: tuple[float, list[float]]) -> Column:
     """A row's rate, from its least value and x."""
     least, x = solved
-    return F.least(F.lit(MAX_RATE), F.greatest(F.lit(least), _free_rate(x)))
+    return F.when(F.col("_n") > 0, F.greatest(F.lit(least), _free_rate(x))).otherwise(F.lit(1.0))
 
 
 def solve_rates(rows: DataFrame, weights: list[float], total: float | None = None,
@@ -139,54 +148,89 @@ def solve_rates(rows: DataFrame, weights: list[float], total: float | None = Non
     least = 1.0 if total is None else 0.0
     p = [F.get("_p", F.lit(i)) for i in range(d)]
 
-    def measure(x: list[float]) -> tuple[list[float], list[list[float]], float, float]:
-        """Expected tokens of each domain, the matrix over rows not cut to a bound,
-        the rows' part of the dual problem, and the tokens as they are."""
+    def measure(x: list[float]) -> tuple[list[float], list[list[float]], float, list[float]]:
+        """Expected tokens of each domain, the matrix over rows not cut to their bound,
+        the tokens as they are, and the largest posteriors."""
         r = rows.withColumns({"_free": _free_rate(x), "_r": rate((least, x))})
         got = r.agg(
             *[F.sum(F.col("_r") * F.col("_n") * p[i]).alias(f"a{i}") for i in range(d)],
             *[F.sum(F.when(F.col("_r") == F.col("_free"), F.col("_n") * p[i] * p[j])).alias(f"m{i}_{j}")
               for i in range(d) for j in range(i, d)],
-            F.sum(F.col("_n") * F.col("_r") * (F.col("_free") - F.col("_r") / 2)).alias("dual"),
-            F.sum("_n").alias("n")).first()
+            F.sum("_n").alias("n"),
+            *[F.max(F.when(F.col("_n") > 0, p[i])).alias(f"top{i}") for i in range(d)]).first()
         return ([got[f"a{i}"] or 0.0 for i in range(d)],
                 [[got[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(d)] for i in range(d)],
-                got["dual"] or 0.0, float(got["n"] or 0))
+                float(got["n"] or 0), [got[f"top{i}"] or 0.0 for i in range(d)])
 
     x = [0.0] * d
     at_start = measure(x)
-    have, _, _, tokens = at_start
+    have, _, tokens, top = at_start
     if not tokens:
         return least, x
+    present = [t >= ABSENT * w for t, w in zip(top, weights, strict=True)]
+    goal = [w if on else 0.0 for w, on in zip(weights, present, strict=True)]
     ridge = RIDGE * tokens
-    start = total if total is not None else HEADROOM * max(h / w for h, w in zip(have, weights, strict=True) if w)
+    start = total if total is not None else HEADROOM * max([h / w for h, w in zip(have, goal, strict=True) if w] + [0.0])
+    if total is None and not start:
+        return least, x                              # only domains without a weight have rows
     price = RISE * tokens / start ** 2 if start else 0.0
 
-    def dual(x: list[float], measured) -> tuple[float, list[float], list[list[float]], float]:
-        """Value, slope and curvature at x, and the total there."""
-        have, matrix, value, _ = measured
-        rise = max(0.0, -_dot(weights, x) / price) if total is None else 0.0
-        value += ridge / 2 * _dot(x, x) - start * _dot(weights, x) + price / 2 * rise * rise
-        slope = [h + ridge * v - (start + rise) * w for h, v, w in zip(have, x, weights, strict=True)]
-        curve = [[matrix[i][j] + (ridge if i == j else 0.0) + (weights[i] * weights[j] / price if rise else 0.0)
-                  for j in range(d)] for i in range(d)]
-        return value, slope, curve, start + rise
-
-    value, slope, curve, aim = dual(x, at_start)
+    def dual(x: list[float], measured) -> tuple[list[float], list[list[float]], float]:
+        """Slope and curvature of the dual problem at x, and the total there."""
+        have, matrix, *_ = measured
+        rise = max(0.0, -_dot(goal, x) / price) if total is None else 0.0
+        slope = [h + ridge * v - (start + rise) * w if on else 0.0
+                 for h, v, w, on in zip(have, x, goal, present, strict=True)]
+        curve = [[(matrix[i][j] + (goal[i] * goal[j] / price if rise else 0.0) if present[i] and present[j] else 0.0)
+                  + (ridge if i == j else 0.0) for j in range(d)] for i in range(d)]
+        return slope, curve, start + rise
+
+    def slopes(x: list[float], move: list[float], parts: list[float]) -> list[float]:
+        """The dual problem's slope along a move, at parts of it; one aggregate."""
+        along = _free_rate(move) - 1
+        r = rows.withColumns({"_u": _free_rate(x), "_v": along})
+        got = r.agg(*[F.sum(F.col("_n") * F.col("_v") * F.greatest(F.lit(least), F.col("_u") + q * F.col("_v"))).alias(f"s{k}")
+                      for k, q in enumerate(parts)]).first()
+        out = []
+        for q, rows_part in zip(parts, got, strict=True):
+            at = [v + q * m for v, m in zip(x, move, strict=True)]
+            rise = max(0.0, -_dot(goal, at) / price) if total is None else 0.0
+            out.append((rows_part or 0.0) + ridge * _dot(at, move) - (start + rise) * _dot(goal, move))
+        return out
+
+    slope, curve, aim = dual(x, at_start)
     taken = 1
-    while taken < steps and (size := math.sqrt(_dot(slope, slope))) > TOLERANCE * aim:
-        move = [-v for v in _solve(curve, slope)]
-        downhill, part, found = _dot(slope, move), 1.0, None
-        while found is None and taken < steps and part > 1e-9:
+    while taken < steps and math.sqrt(_dot(slope, slope)) > TOLERANCE * aim:
+        unit = [math.sqrt(curve[i][i]) for i in range(d)]
+        scaled = _solve([[curve[i][j] / unit[i] / unit[j] for j in range(d)] for i in range(d)],
+                        [v / u for v, u in zip(slope, unit, strict=True)])
+        move = [-v / u for v, u in zip(scaled, unit, strict=True)]
+        downhill = _dot(slope, move)
+        trial, part = [v + m for v, m in zip(x, move, strict=True)], 1.0
+        measured = measure(trial)
+        new = dual(trial, measured)
+        taken += 1
+        if (beyond := _dot(new[0], move)) > 0.1 * abs(downhill):
+            low, at_low, high, at_high = 0.0, downhill, 1.0, beyond      # the slope along the move only rises
+            for fine in range(3):
+                parts = [low + (high - low) * (k / SEARCH if fine else 4.0 ** (k - SEARCH)) for k in range(1, SEARCH)]
+                for q, at in zip(parts, slopes(x, move, parts), strict=True):
+                    if at < 0 and q > low:
+                        low, at_low = q, at
+                    elif at >= 0 and q < high:
+                        high, at_high = q, at
+                taken += 1
+            part = low + (high - low) * -at_low / (at_high - at_low)
             trial = [v + part * m for v, m in zip(x, move, strict=True)]
-            new = dual(trial, measure(trial))
+            measured = measure(trial)
+            new = dual(trial, measured)
             taken += 1
-            if new[0] <= value + 1e-4 * part * downhill or _dot(new[1], new[1]) < (0.9 * size) ** 2:
-                found = trial
-            part /= 4
-        if found is None:
+        if trial == x:
             break                                    # no step helps: as near as doubles get
-        x, (value, slope, curve, aim) = found, new
+        x, (slope, curve, aim), have = trial, new, measured[0]
+    off = [h / (sum(have) or 1.0) - w for h, w in zip(have, weights, strict=True)]
+    if any(abs(o) > MISSED for o in off):
+        warnings.warn(f"mixing: shares are off their targets by {[round(o, 4) for o in off]}", stacklevel=2)
     return least, x
 
 
@@ -214,4 +258,8 @@ def mix(df: DataFrame, docs: DataFrame, labelled: DataFrame, domain_col: str = "
         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with every row as often as its rate asks for, same columns."""
     rows = rated(df, docs, labelled, domain_col, targets, total, None, id_col, text_col)
-    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), copies(id_col).cast("int")))).select(*df.columns)
+    # a row's copies in blocks, so that no array grows with its rate
+    rows = rows.withColumn("_left", copies(id_col)).filter("_left > 0").withColumn(
+        "_at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_left") - 1, F.lit(BLOCK).cast("long"))))
+    block = F.least(F.lit(BLOCK), F.col("_left") - F.col("_at")).cast("int")
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), block))).select(*df.columns)

@@ -90,6 +90,35 @@ def test_default_total_loses_no_row_beside_soft_posteriors(spark, soft):
         assert np.allclose((r * n) @ p / (r @ n), [0.4, 0.2, 0.2, 0.2], atol=1e-5)
 
 
+@pytest.mark.parametrize("share", [0.02, 0.003])
+def test_scarce_domains_meet_their_targets(spark, share):
+    rng = np.random.default_rng(3)
+    k = rng.choice(4, 2000, p=[0.4 - share, 0.3, 0.3, share])
+    n = rng.integers(1, 400, 2000).astype(float)
+    rows = spark.createDataFrame([(float(a), np.eye(4)[i].tolist()) for a, i in zip(n, k, strict=True)], "_n double, _p array<double>")
+    r = np.array([x[0] for x in rows.select(mixing.rate(mixing.solve_rates(rows, [0.4, 0.2, 0.2, 0.2]))).collect()])
+    assert np.allclose(np.bincount(k, r * n) / (r @ n), [0.4, 0.2, 0.2, 0.2], atol=1e-5) and (r >= 1).all()
+
+
+def test_absent_domain_is_named_and_leaves_the_others_right(spark):
+    rows = spark.createDataFrame([(100.0, [1.0, 0.0, 0.0])] * 9 + [(100.0, [0.0, 1.0, 0.0]), (0.0, [0.3, 0.3, 0.4])],
+                                 "_n double, _p array<double>")
+    with pytest.warns(UserWarning, match="off their targets"):
+        solved = mixing.solve_rates(rows, [0.4, 0.4, 0.2])
+    r = [x[0] for x in rows.select(mixing.rate(solved)).collect()]
+    assert r[:10] == pytest.approx([1.02] * 9 + [1.02 * 9]) and r[10] == 1
+
+
+def test_many_copies_of_a_row(spark):
+    docs = spark.createDataFrame([(i, "the of and " * 300, "en") for i in range(40)] + [(99, "y", "es")], "doc_id long, text string, lang string")
+    out = mixing.mix(docs, docs, docs.select("doc_id", "lang"), targets={"en": 0.5, "es": 0.5})
+    got = {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()}
+    assert got[99] > mixing.BLOCK and all(got[i] >= 1 for i in range(40))
+    rated = mixing.rated(docs, docs, docs.select("doc_id", "lang"), targets={"en": 0.5, "es": 0.5}).collect()
+    share = [sum(r["_rate"] * r["_n"] * r["_p"][i] for r in rated) for i in (0, 1)]
+    assert share[1] / sum(share) == pytest.approx(0.5, abs=1e-5)
+
+
 def test_edge_cases(spark):
     docs = spark.createDataFrame(
         [(1, None, "x", 5), (2, "", "y", 6), (2, "", "y", 6), (None, "der die das", None, 7), (4, "the of " * 50_000, "z", 8)],
