@@ -1,12 +1,13 @@
 """HTML to text with its layout: block spacing, lists, aligned table cells.
 
 A page's tags are read into a tree in which missing tags are implied (a block
-closes an open paragraph, an item or cell closes its neighbour, a closing
-tag closes what is still open inside).  Rendering walks the tree, leaves out what a
+closes an open paragraph, an item or cell closes its neighbour, a cell without a row
+opens one, a closing tag closes what is still open inside).  Rendering walks the tree, leaves out what a
 browser does not show (head, scripts, styles, templates, elements that are
-hidden by attribute or style), collapses white space outside ``pre``, puts blocks on lines of their
+hidden by their own attribute or style), collapses white space outside ``pre``, puts blocks on lines of their
 own with a blank line around paragraphs, headings, lists and tables, marks list items
-by nesting and number, and pads table cells so that columns line up.
+by nesting and number, and pads table cells so that columns line up.  A table with anything
+shown outside its rows' cells and captions is rendered like any other block.
 
 Nothing is recursive, so depth is no limit.  Defined cases: NULL and empty pages give an empty text; a tag
 without an end is text; unknown tags are inline; text outside any element is
@@ -26,9 +27,13 @@ from pyspark.sql import functions as F
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
     r"(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-COLSPAN = re.compile(r"colspan\s*=\s*[\"']?\s*(\d{1,3})", re.I)
-START = re.compile(r"(?:^|\s)start\s*=\s*[\"']?\s*(-?\d{1,9})", re.I)
+ATTR = re.compile(
+    r"(?P<name>[^ \t\n\f\r/>][^ \t\n\f\r/=>]*+)"
+    r"(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:\"(?P<d>[^\"]*+)\"|'(?P<s>[^']*+)'|(?P<u>[^ \t\n\f\r>\"'][^ \t\n\f\r>]*+)))?")
+MAY_HIDE = re.compile("hidden|style", re.I)
+CSS_OTHER = re.compile(r"/\*.*?(?:\*/|\Z)|\"[^\"]*+\"|'[^']*+'|\([^()]*+\)", re.S)      # comments, strings, arguments
+COLSPAN = re.compile(r"\s*(\d{1,3})")
+START = re.compile(r"\s*(-?\d{1,9})")
 SPACE = re.compile(r"[ \t\r\n\f]+")
 
 # Fixed values of the HTML standard, by element name.
@@ -42,15 +47,22 @@ BLOCKS = SPACED | frozenset(
 # a start tag closes these open elements, up to the nearest element that bounds the search
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option", "optgroup"),
-    "tr": ("td", "th", "tr", "caption"), "td": ("td", "th"), "th": ("td", "th"),
-    "tbody": ("td", "th", "tr", "thead", "tbody", "tfoot", "caption"),
-    "thead": ("td", "th", "tr", "thead", "tbody", "tfoot", "caption"),
-    "tfoot": ("td", "th", "tr", "thead", "tbody", "tfoot", "caption"),
+    "tr": ("td", "th", "tr", "caption", "colgroup"),
+    "td": ("td", "th", "caption", "colgroup"), "th": ("td", "th", "caption", "colgroup"),
+    "tbody": ("td", "th", "tr", "thead", "tbody", "tfoot", "caption", "colgroup"),
+    "thead": ("td", "th", "tr", "thead", "tbody", "tfoot", "caption", "colgroup"),
+    "tfoot": ("td", "th", "tr", "thead", "tbody", "tfoot", "caption", "colgroup"),
+    "caption": ("td", "th", "tr", "thead", "tbody", "tfoot", "caption", "colgroup"),
+    "colgroup": ("td", "th", "tr", "thead", "tbody", "tfoot", "caption", "colgroup"),
     "body": ("head",),
 }
 BOUNDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select", "datalist"},
           "optgroup": {"select"}, "body": {"html"}}
 CLOSES_P = BLOCKS - {"html", "body", "summary", "legend", "caption", "tr", "thead", "tbody", "tfoot", "option", "li", "dt", "dd"}
+GROUPS = frozenset("table thead tbody tfoot".split())
+# where a table's parts stand; one elsewhere makes it no plain table
+PARENTS = {"tr": GROUPS, "thead": GROUPS, "tbody": GROUPS, "tfoot": GROUPS, "caption": GROUPS,
+           "td": {"tr"}, "th": {"tr"}, "colgroup": {"table"}, "col": {"table", "colgroup"}}
 P_BOUNDS = {"td", "th", "caption", "button", "table", "html", "body", "li", "div", "blockquote", "article", "section"}
 
 
@@ -105,6 +117,10 @@ def build(page: str) -> Node:
             close(("p",), P_BOUNDS)
             if tag not in ("head", "html") and len(stack) > 1 and stack[-1].tag == "head":
                 stack.pop()
+        if tag in ("td", "th") and stack[-1].tag in GROUPS:
+            row = Node("tr")
+            stack[-1].kids.append(row)
+            stack.append(row)
         node = Node(tag, m["attrs"])
         stack[-1].kids.append(node)
         if tag in RAW:
@@ -167,19 +183,50 @@ class Lines:
         self.raw(line)
 
 
+def attributes(raw: str) -> dict[str, str]:
+    """Values by name in lower case; the first of a name counts."""
+    out: dict[str, str] = {}
+    for m in ATTR.finditer(raw):
+        out.setdefault(m["name"].lower(), html.unescape(m["d"] or m["s"] or m["u"] or ""))
+    return out
+
+
+def _hidden(raw: str) -> bool:
+    """Hidden by the attribute of that name or by the style, whose last word counts
+    unless an earlier one is important."""
+    if not MAY_HIDE.search(raw):
+        return False
+    found = attributes(raw)
+    if "hidden" in found:
+        return True
+    style: dict[str, tuple[str, bool]] = {}
+    for part in CSS_OTHER.sub(" ", found.get("style", "")).lower().split(";"):
+        name, _, value = part.partition(":")
+        value, bang, _ = value.partition("!")
+        name, value = name.strip(), value.strip()
+        if value and (bang or not style.get(name, ("", False))[1]):
+            style[name] = (value, bool(bang))
+    return style.get("display", ("",))[0] == "none" or style.get("visibility", ("",))[0] == "hidden"
+
+
 def shown(node: Node) -> bool:
-    return node.tag not in NOT_SHOWN and not (node.attrs and HIDDEN.search(node.attrs)) and not (
+    return node.tag not in NOT_SHOWN and not (node.attrs and _hidden(node.attrs)) and not (
         node.tag == "input")
 
 
+def _columns(cell: Node) -> int:
+    m = COLSPAN.match(attributes(cell.attrs).get("colspan", "")) if cell.attrs else None
+    return max(1, int(m[1])) if m else 1
+
+
 def table_rows(table: Node) -> tuple[list[list[tuple[Node, int]]], list[Node]]:
     """Rows of (cell, columns it spans), in order; and the captions."""
     rows, captions, todo = [], [], [table]
     while todo:
         n = todo.pop()
         if n.tag == "tr":
-            rows.append([(k, max(1, int(m[1])) if (m := COLSPAN.search(k.attrs)) else 1)
-                         for k in n.kids if isinstance(k, Node) and k.tag in ("td", "th") and shown(k)])
+            rows.append([(k, _columns(k)) for k in n.kids
+                         if isinstance(k, Node) and k.tag in ("td", "th") and shown(k)])
         elif n.tag == "caption":
             captions.append(n)
         else:
@@ -189,17 +236,18 @@ def table_rows(table: Node) -> tuple[list[list[tuple[Node, int]]], list[Node]]:
 
 
 def _only_cells(table: Node) -> bool:
-    """No shown text outside the cells, and no table inside (that would be layout)."""
-    todo = [(k, False) for k in table.kids]
+    """No shown text outside the cells and captions that table_rows finds, and no
+    table inside (that would be layout)."""
+    todo = [(k, "table") for k in table.kids]          # with the tag around it, or none inside a cell
     while todo:
-        n, cell = todo.pop()
+        n, around = todo.pop()
         if isinstance(n, str):
-            if not cell and n.strip():
+            if around and n.strip():
                 return False
         elif shown(n):
-            if n.tag == "table" or not cell and n.tag not in ("tr", "td", "th", "thead", "tbody", "tfoot", "caption", "col", "colgroup"):
+            if n.tag == "table" or around and around not in PARENTS.get(n.tag, ()):
                 return False
-            todo += [(k, cell or n.tag in ("td", "th", "caption")) for k in n.kids]
+            todo += [(k, around and n.tag not in ("td", "th", "caption") and n.tag) for k in n.kids]
     return True
 
 
@@ -285,7 +333,7 @@ def render(root: Node) -> str:
         elif tag in ("ul", "ol", "menu"):
             number = None
             if tag == "ol":
-                m = START.search(n.attrs)
+                m = START.match(attributes(n.attrs).get("start", ""))
                 number = int(m[1]) if m else 1
             lists.append([number, out.indent])
         elif tag == "li":

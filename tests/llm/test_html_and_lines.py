@@ -34,6 +34,29 @@ def test_layout(page, text):
     assert html_text.page_text(page) == text
 
 
+TABLES_AND_HIDING = [
+    ("<table><td>x</td></table>", "x"), ("<table><td>a<td>bb<tr><td>ccc<td>d</table>", "a    bb\nccc  d"),
+    ("<table><tr><td>a</td></tr><td>x</table>", "a\nx"), ("<table><tbody><tr><td>a</tr><th>x</table>", "a\nx"),
+    ("<table><colgroup><col><tr><td>a</table>", "a"), ("<table><colgroup><col><tbody><tr><td>a</table>", "a"),
+    ("<table><colgroup><td>a</table>", "a"), ("<table><colgroup><colgroup><thead><td>a</table>", "a"),
+    ("<table><caption>C<td>a</table>", "C\na"), ("<table><tr><caption>C</caption><td>a</table>", "C\na"),
+    ("<table><colgroup>loose<tr><td>a</table>", "loose\na"), ("<table><form><td>a</td></form></table>", "a"),
+    ("<table title='colspan=2'><tr><td title=' colspan=2'>a<td>b<tr><td>cc<td>d</table>", "a   b\ncc  d"),
+    ("<p title='the hidden valley'>yes", "yes"), ("<p alt=\"x hidden\">yes", "yes"), ("<p class='a hidden b'>yes", "yes"),
+    ("<p data-x='display:none'>yes", "yes"), ("<p data-hidden=1 class=hidden>yes", "yes"), ("<p title=\"style='display:none'\">yes", "yes"),
+    ("<p style='--display: none; background: url(x;display:none)'>yes", "yes"), ("<p style='display:none;display:block'>yes", "yes"),
+    ("<p HIDDEN>no</p><p hidden=''>no</p><p class=a hidden/>no</p>yes", "yes"), ("<p a='1'hidden>no</p>yes", "yes"),
+    ("<p style='color:red;DISPLAY : None !important;display:block'>no</p><p style=display:none>no</p>yes", "yes"),
+    ("<p style='visibility:hi/**/; visibility: hidden'>no</p><p style='display&#58;none'>no</p>yes", "yes"),
+    ("<ol title=' start=5'><li>x</ol>", "1. x"),
+]
+
+
+@pytest.mark.parametrize("page,text", TABLES_AND_HIDING)
+def test_implied_rows_and_hiding_attributes(page, text):
+    assert html_text.page_text(page) == text
+
+
 def test_deep_and_long_pages():
     assert html_text.page_text("<div>" * 20_000 + "x") == "x"
     assert html_text.page_text("<ul><li>" * 300 + "x").endswith("- x")
