@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from sublens.llm import (
     decontaminate,
     html_text,
     mixing,
+    periodic,
     quality,
     quality_rules,
     records,
@@ -81,6 +84,31 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def periodic_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Every tenth document, by its id's CRC, gets a periodic tail; a NULL id none."""
+    n, h = len(words), 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents"), edit=periodic_tail)
+    # runs come by start and period: the first of equal exponents stays
+    best = F.reduce("runs", F.expr("cast(null as struct<start:bigint,length:bigint,period:bigint>)"),
+                    lambda m, r: F.when(m.isNull() | (r["length"] * m["period"] > m["length"] * r["period"]), r).otherwise(m))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_html": op2_html,
@@ -92,6 +120,7 @@ QUERIES = {
     "op8_rules": op8_rules,
     "op9_site_lines": op9_site_lines,
     "op10_quality": op10_quality,
+    "op11_runs": op11_runs,
 }
 
 _AZ = ("translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
