@@ -11,6 +11,7 @@ from sublens.llm import (
     decontaminate,
     html_text,
     mixing,
+    negatives,
     periodic,
     quality,
     quality_rules,
@@ -109,6 +110,12 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("kept").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_html": op2_html,
@@ -121,6 +128,7 @@ QUERIES = {
     "op9_site_lines": op9_site_lines,
     "op10_quality": op10_quality,
     "op11_runs": op11_runs,
+    "op13_negatives": op13_negatives,
 }
 
 _AZ = ("translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
@@ -200,7 +208,30 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from c
 """
 
+OP13_SQL = """
+with r as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+pairs as (
+  select a.vec_id as anchor_id, o.vec_id, o.label = a.label as same,
+         list_inner_product(a.v, o.v)::bigint as score
+  from r a join r o on a.vec_id % 100 = 0 and o.vec_id <> a.vec_id),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id,
+       (row_number() over (partition by anchor_id, positive_id order by score desc, vec_id))::int as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from positives join pairs using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_negatives": OP13_SQL,
     "op8_rules": OP8_SQL,
     "op7_decontaminate": OP7_SQL,
 }
