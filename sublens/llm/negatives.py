@@ -211,13 +211,18 @@ def first_rows(anchors: DataFrame, held: DataFrame, same: bool, k: int, slot: in
     """For anchors (key, id, label, vec, low, high: the windows' ends) and a stored
     bucket table: (key, window, id, score, rank) of the first k rows in each
     window, of the anchor's label (``same``) or of any other."""
-    space = F.col("label") if same else F.lit("")
-    sizes = held.groupBy(space.alias("space")).agg(F.ceil(F.count("*") / slot).alias("slots"))
-    dealt = held.withColumn("space", space).join(sizes, "space").withColumn(
-        "slot", F.pmod(F.xxhash64("ids", "orders"), "slots")).withColumn("tag", F.lit(0)).drop("slots")
-    visits = anchors.withColumn("space", space).join(sizes, "space").withColumn(
-        "slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1))).withColumn("tag", F.lit(1)).drop("slots")
-    both = (dealt.unionByName(visits, allowMissingColumns=True)
+    if same:
+        sizes = held.groupBy("label").agg(F.ceil(F.count("*") / slot).alias("slots"))
+        dealt, visits = held.join(sizes, "label"), anchors.join(sizes, "label")
+        space = F.col("label")
+    else:
+        slots = F.lit(max(1, -(-held.count() // slot))).cast("bigint")
+        dealt, visits = held.withColumn("slots", slots), anchors.withColumn("slots", slots)
+        space = F.lit("")
+    dealt = dealt.withColumns({"space": space, "slot": F.pmod(F.xxhash64("ids", "orders"), "slots"), "tag": F.lit(0)})
+    visits = visits.withColumns({"space": space, "tag": F.lit(1),
+                                 "slot": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1))})
+    both = (dealt.drop("slots").unionByName(visits.drop("slots"), allowMissingColumns=True)
             .repartition("space", "slot").sortWithinPartitions("space", "slot", "tag", F.desc("longest")))
     names = both.columns
 
