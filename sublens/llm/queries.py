@@ -12,6 +12,7 @@ from sublens.llm import (
     html_text,
     mixing,
     negatives,
+    neighbours,
     periodic,
     quality,
     quality_rules,
@@ -110,6 +111,10 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("kept").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").withColumn(
         "label", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)"))
@@ -128,6 +133,7 @@ QUERIES = {
     "op9_site_lines": op9_site_lines,
     "op10_quality": op10_quality,
     "op11_runs": op11_runs,
+    "op12_neighbours": op12_neighbours,
     "op13_negatives": op13_negatives,
 }
 
