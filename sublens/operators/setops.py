@@ -15,6 +15,8 @@
 * ``rows_at_min`` / ``rows_at_max`` — rows holding a group's extreme value,
   ties kept, as aggregate + equi-join back (partial aggregation makes it
   skew-safe; no per-group sort).
+* ``at_group_min`` — on folded rows, those whose own minimum is their group's:
+  no join back.
 """
 
 from __future__ import annotations
@@ -164,3 +166,11 @@ def rows_at_min(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def rows_at_max(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Rows whose ``value`` equals the group maximum (ties kept)."""
     return _rows_at(df, keys, value, F.max)
+
+
+def at_group_min(folded: DataFrame, key: str, value: str, own: str) -> DataFrame:
+    """Rows of an already folded table whose ``own`` equals the least ``value`` of
+    their ``key``.  The window has no order, so a key's rows are not sorted
+    by anything but the key."""
+    least = F.min(value).over(Window.partitionBy(key))
+    return folded.withColumn("_least", least).where(F.col(own) == F.col("_least")).drop("_least")

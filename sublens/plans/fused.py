@@ -9,7 +9,8 @@ table 71 times.  Here:
   them; all cohorts and the measure pass below read this slice;
 * pass 2 (``keyed_history``): the consumers that need an account's whole
   past (transitions, attribution, the campaign's first commence) get one
-  scan of the table filtered map-side by their small key sets, checkpointed.
+  scan of the table, filtered there by Bloom filters of their key sets and joined
+  once with these, checkpointed.
 
 Every measure of the original is ``COUNT(DISTINCT account)`` over rows that
 satisfy a predicate, possibly AND-ed with account-level tests (test / VIP
@@ -46,9 +47,9 @@ from pyspark.sql import functions as F
 from sublens.context import ReportContext
 from sublens.functions import domain as d
 from sublens.functions import predicates as P
-from sublens.operators import setops
+from sublens.operators import membership, setops
 from sublens.plans import attribution, engagement, transitions
-from sublens.plans.cohorts import Cohorts
+from sublens.plans.cohorts import BY_ACCOUNT, BY_KEY, HISTORY_KIND, Cohorts
 from sublens.plans.measures import result_row
 from sublens.sources.tables import Sources
 
@@ -160,19 +161,14 @@ VARIANTS = [
 def keyed_history(co: Cohorts) -> DataFrame:
     """Every service row of the account keys / account ids whose whole past a
     consumer reads: the transitions' owners and the campaign candidates (by
-    account key), the attribution candidates (by account id).  The key sets
-    come from the day's slice and are small, so the one scan of the table
-    is filtered map-side; each consumer then applies its own key set."""
-    keys = (transitions.owner_keys(co, VARIANTS)
-            .unionByName(co.campaign_candidates().select("dim_account_key"))
-            .distinct().select(F.col("dim_account_key").alias("_hk"), F.lit(True).alias("_khit")))
-    accounts = (attribution.candidates(co).select(F.col(ACCOUNT).alias("_ha"))
-                .distinct().withColumn("_ahit", F.lit(True)))
-    rows = co.src.dim_service
-    return (rows.join(keys, F.col("dim_account_key").eqNullSafe(F.col("_hk")), "left")
-                .join(accounts, F.col(ACCOUNT) == F.col("_ha"), "left")
-                .where(F.col("_khit").isNotNull() | F.col("_ahit").isNotNull())
-                .select(*rows.columns))
+    account key), the attribution candidates (by account id); a row that both ask
+    for comes once for each.  The key sets come from the day's slice; a Bloom filter of each
+    drops other rows in the scan, and one join on (kind, key) decides."""
+    sets = membership.KeySets.of([
+        (BY_KEY, transitions.owners(co, VARIANTS), "dim_account_key"),
+        (BY_KEY, co.campaign_candidates().where(F.col("dim_account_key").isNotNull()), "dim_account_key"),
+        (BY_ACCOUNT, attribution.candidates(co).where(F.col(ACCOUNT).isNotNull()), ACCOUNT)], co.stage)
+    return sets.rows(co.src.dim_service, {BY_KEY: "dim_account_key", BY_ACCOUNT: ACCOUNT}, HISTORY_KIND)
 
 
 def _list_stream(df: DataFrame, bit: str, col: str = ACCOUNT) -> DataFrame:

@@ -48,71 +48,80 @@ def transitions_multi(co: Cohorts, variants: list[Variant]) -> DataFrame:
 
     Order of work, so that no step shuffles the whole service table:
     1. target candidates — rows starting on D (a selective scan);
-    2. the subscriber bases, only for the candidates' accounts (the
-       candidate list is small and filters the scan map-side);
-    3. owners = (variant, account key) of the candidates that qualify;
-    4. history rows of the owners' account keys only, tagged by variant;
-    5. the prior-row lookup over that history.
+    2. owners — (variant, account key) of the candidates whose account is in the
+       variant's current-subscriber base;
+    3. history rows, once per variant that they belong to, of the owners' account
+       keys only, and of these the ones of a base account;
+    4. the prior-row lookup over that history.
+
+    Every join is a left semi join on (variant, account key) or (variant,
+    account id) with a list that is not aggregated below it, staged or not, so the
+    adaptive planner may broadcast the list or split a hot account's rows.
     """
-    in_history, is_target, tag, owners = _owners(co, variants)
-
-    owner_keys = owners.select(F.col("_owner").alias("_okey")).distinct()
-    history = co.history.where(in_history).join(
-        owner_keys, F.col("dim_account_key").eqNullSafe(F.col("_okey")), "left_semi")
-    tagged = tag(history).join(owners, (F.col(VARIANT) == F.col("_ov"))
-                               & F.col("dim_account_key").eqNullSafe(F.col("_owner")),
-                               "left_semi")
-
-    with_prior = lag.prior_row(tagged, [VARIANT, "dim_account_key"], "dim_service_key",
+    made = _made(co, variants)
+    owner = made.owners.select(F.col(VARIANT).alias("_ov"), F.col("dim_account_key").alias("_owner"))
+    history = _by_variant(co.history_by_key.where(made.in_history), variants, "history_products").join(
+        owner, (F.col(VARIANT) == F.col("_ov")) & F.col("dim_account_key").eqNullSafe(F.col("_owner")), "left_semi")
+    with_prior = lag.prior_row(made.of_base(history), [VARIANT, "dim_account_key"], "dim_service_key",
                                _PRIOR_COLS, bucket_width=co.ctx.lag_bucket_width)
-    return (with_prior.where(is_target)
+    return (with_prior.where(made.is_target)
             .withColumn("days_ago", P.day_diff("prior_service_end_date", "service_start_date")))
 
 
-def owner_keys(co: Cohorts, variants: list[Variant]) -> DataFrame:
-    """Account keys (``dim_account_key``) whose history some variant reads."""
-    return _owners(co, variants)[3].select(F.col("_owner").alias("dim_account_key")).distinct()
+def owners(co: Cohorts, variants: list[Variant]) -> DataFrame:
+    """(variant, ``dim_account_key``) of the services to classify."""
+    return _made(co, variants).owners
+
+
+def _by_variant(df: DataFrame, variants: list[Variant], products: str) -> DataFrame:
+    """Rows once for each variant whose ``products`` hold the row's product."""
+    names = F.array(*[F.when(P.product_in(*getattr(v, products)), F.lit(v.name)) for v in variants])
+    return df.withColumn(VARIANT, F.explode(F.filter(names, lambda n: n.isNotNull())))
+
+
+@dataclass(frozen=True)
+class _Made:
+    """What the steps share, made once per run from the day's service rows."""
+
+    in_history: Column
+    is_target: Column
+    base: DataFrame           # (_bv, _ba): variant and account id of current subscribers
+    owners: DataFrame
+
+    def of_base(self, df: DataFrame) -> DataFrame:
+        return _of_base(df, self.base)
+
 
+def _of_base(df: DataFrame, base: DataFrame) -> DataFrame:
+    return df.join(base, (F.col(VARIANT) == F.col("_bv")) & (F.col("account_id") == F.col("_ba")), "left_semi")
 
-def _owners(co: Cohorts, variants: list[Variant]):
-    """Steps 1-3: the history filter, the per-variant target test, the tagger
-    and the owners ``(_ov, _owner)`` — all from the day's service rows.  Made
-    once per run; the bases are staged, so joins with them see a plain shuffle
-    on both sides and may split a hot account."""
+
+def _made(co: Cohorts, variants: list[Variant]) -> _Made:
     made = co.__dict__.setdefault("_owners_made", {})
     key = tuple(variants)
     if key not in made:
-        made[key] = _make_owners(co, variants)
+        made[key] = _make(co, variants)
     return made[key]
 
 
-def _make_owners(co: Cohorts, variants: list[Variant]):
+def _make(co: Cohorts, variants: list[Variant]) -> _Made:
     all_sub = sorted({p for v in variants for p in v.sub_products})
     all_hist = sorted({p for v in variants for p in v.history_products})
     in_history = P.product_in(*all_hist) & P.status_not_in(d.INACTIVE)
 
-    any_target = F.lit(False)
+    any_target, is_target = F.lit(False), F.lit(False)
     for v in variants:
         any_target = any_target | _target(v, co.D)
+        is_target = F.when(F.col(VARIANT) == v.name, _target(v, co.D)).otherwise(is_target)
     candidates = co.svc.where(in_history & any_target)
 
     current = co.not_test(co.current(P.product_in(*all_sub), P.status_not_in(*d.NOT_CURRENT)))
     current = setops.is_in(current, "account_id", candidates.select("account_id"))
-    bases = co.stage(current.groupBy("account_id").agg(*[
-        F.max(P.product_in(*v.sub_products)).alias(f"_in_{v.name}") for v in variants]))
-
-    def tag(df: DataFrame) -> DataFrame:
-        tags = F.array(*[F.when(F.col(f"_in_{v.name}") & P.product_in(*v.history_products),
-                                F.lit(v.name)) for v in variants])
-        return (df.join(bases, "account_id")
-                  .withColumn(VARIANT, F.explode(tags)).where(F.col(VARIANT).isNotNull()))
-
-    is_target = F.lit(False)
-    for v in variants:
-        is_target = F.when(F.col(VARIANT) == v.name, _target(v, co.D)).otherwise(is_target)
-    owners = tag(candidates).where(is_target).select(
-        F.col(VARIANT).alias("_ov"), F.col("dim_account_key").alias("_owner")).distinct()
-    return in_history, is_target, tag, owners
+    base = co.stage(_by_variant(current, variants, "sub_products").select(
+        F.col(VARIANT).alias("_bv"), F.col("account_id").alias("_ba")))
+    own = co.stage(_of_base(_by_variant(candidates, variants, "history_products").where(is_target), base)
+                   .select(VARIANT, "dim_account_key"))
+    return _Made(in_history, is_target, base, own)
 
 
 def transitions(co: Cohorts, sub_products, history_products, result_products) -> DataFrame:
