@@ -63,11 +63,20 @@ def transitions_multi(co: Cohorts, variants: list[Variant]) -> DataFrame:
     history = _by_variant(co.history_by_key.where(made.in_history), variants, "history_products").join(
         owner, (F.col(VARIANT) == F.col("_ov")) & F.col("dim_account_key").eqNullSafe(F.col("_owner")), "left_semi")
     with_prior = lag.prior_row(made.of_base(history), [VARIANT, "dim_account_key"], "dim_service_key",
-                               _PRIOR_COLS, bucket_width=co.ctx.lag_bucket_width)
+                               _PRIOR_COLS, hot=_hot_keys(co))
     return (with_prior.where(made.is_target)
             .withColumn("days_ago", P.day_diff("prior_service_end_date", "service_start_date")))
 
 
+def _hot_keys(co: Cohorts) -> lag.HotKeys:
+    """Account keys with many services, counted once per run over the history that the
+    lookups read (a superset of what each does)."""
+    if "_hot_history" not in co.__dict__:
+        co.__dict__["_hot_history"] = lag.hot_keys(co.history_by_key, "dim_account_key", "dim_service_key",
+                                                   co.ctx.lag_bucket_width)
+    return co.__dict__["_hot_history"]
+
+
 def owners(co: Cohorts, variants: list[Variant]) -> DataFrame:
     """(variant, ``dim_account_key``) of the services to classify."""
     return _made(co, variants).owners

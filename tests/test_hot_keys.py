@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from sublens.functions import domain as d
 from sublens.operators import setops
+from sublens.plans import transitions
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -58,3 +60,18 @@ def test_next_day_across_months_without_a_date(spark):
                                  (3, dt.date(2023, 1, 1), dt.date(2024, 1, 4)), (4, dt.date(2024, 4, 21), dt.date(2025, 1, 1))],
                                 "id int, s date, e date")
     assert [r["id"] for r in setops.calendar_covers(svc, cal, "s", "e").collect()] == [2]
+
+
+def test_hot_account_is_split_in_the_transition_joins(shuffled, tmp_path):
+    """Lists that are not aggregated below the join, whether staged or not."""
+    rows = shuffled.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("string").alias("account_id"),
+        F.lit(d.MONTHLY[0]).alias("product_name"), "id")
+    rows.repartition(8).write.parquet(str(tmp_path / "rows"))
+    rows = shuffled.read.parquet(str(tmp_path / "rows"))
+    variants = [transitions.Variant("a", d.MONTHLY, d.MONTHLY, d.MONTHLY), transitions.Variant("b", d.MONTHLY, d.MONTHLY, ())]
+    base = shuffled.range(0, 5000, 7).select(F.lit("a").alias("_bv"), F.col("id").cast("string").alias("_ba"))
+    out = transitions._of_base(transitions._by_variant(rows, variants, "history_products"), base).agg(F.count("*").alias("n"))
+    hot = rows.where("account_id = '7'").count()
+    assert out.collect()[0]["n"] >= hot
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()

@@ -77,8 +77,11 @@ def test_rows_at_extremes_keep_ties(spark):
     assert _vals(setops.rows_at_min(df, ["g"], "v"), "id") == [3, 4, 5, 6]
 
 
-@pytest.mark.parametrize("width", [1, 4, 1 << 20])
-def test_prior_row_equals_plain_lag(spark, width):
+@pytest.mark.parametrize("width,coarse,bound", [(1, 32, 20_000), (4, 3, 20_000), (4, 3, 0), (1 << 20, 32, 20_000)])
+def test_prior_row_equals_plain_lag(spark, monkeypatch, width, coarse, bound):
+    monkeypatch.setattr(lag, "COARSE", coarse)
+    monkeypatch.setattr(lag, "RANGES", coarse * coarse)
+    monkeypatch.setattr(lag, "BROADCAST_ROWS", bound)
     rnd = random.Random(width)
     keys = rnd.sample(range(0, 400), 250)
     rows = [(rnd.choice([1, 2, 3, None, 4]), k, rnd.choice(["x", "y", None]),
@@ -94,6 +97,44 @@ def test_prior_row_equals_plain_lag(spark, width):
     assert a == b
 
 
+def test_sparse_keys_have_no_summary_and_one_shuffle(spark):
+    """Keys far apart: no value is hot, so the plan is the plain window."""
+    df = spark.range(50_000).select((F.col("id") % 5000).alias("p"), (F.col("id") * 1_000_003).alias("k"))
+    assert lag.hot_keys(df, "p", "k", 1 << 10).cuts is None
+    out = lag.prior_row(df, "p", "k", ["k"], 1 << 10)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_hot_value_is_cut_into_even_ranges(spark):
+    """Keys of a hot value crowd at one end; others stay as they are."""
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(-F.col("id")).alias("p"),
+                                    F.expr("id * id * id").alias("k"))
+    hot = lag.hot_keys(df, "p", "k", 1000)
+    assert (hot.n, hot.ranges) == (1, 20)
+    summary_rows = hot.n * hot.ranges
+    assert summary_rows < 0.01 * 60_000
+    cuts = hot.cuts.first()["_lag_cuts"]
+    keys = sorted(r["k"] for r in df.where("p = 7").collect())
+    sizes = [sum(lo <= k < hi for k in keys) for lo, hi in zip([-1, *cuts], [*cuts, keys[-1] + 1])]
+    assert max(sizes) < 1.3 * 1000
+    got = lag.prior_row(df, "p", "k", ["k"], 1000).where("p = 7").select("k", "prior_k").collect()
+    assert sorted((r["k"], r["prior_k"]) for r in got) == list(zip(keys, [None, *keys]))
+
+
+def test_prior_row_with_counts_of_a_wider_table(spark):
+    rows = [(v, 1, k, str(k)) for k in range(30) for v in ("x", "y") if (k + len(v)) % 4]
+    df = spark.createDataFrame(rows, "t string, p int, k long, s string")
+    whole = spark.createDataFrame([(1, k) for k in range(60)] + [(2, 5), (None, 6)], "p int, k long")
+    hot = lag.hot_keys(whole, "p", "k", 8)
+    assert hot.n == 1
+    got = lag.prior_row(df, ["t", "p"], "k", ["s"], hot=hot)
+    w = Window.partitionBy("t", "p").orderBy("k")
+    want = df.select("*", F.lag("s").over(w).alias("prior_s"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_prior_row_multi_column_partition(spark):
     rows = [("v1", 1, 10, "a"), ("v1", 1, 12, "b"), ("v2", 1, 11, "c"), ("v2", 1, 13, "d")]
     df = spark.createDataFrame(rows, "t string, p int, k long, s string")
