@@ -71,7 +71,7 @@ def test_hot_account_is_split_in_the_transition_joins(shuffled, tmp_path):
     rows = shuffled.read.parquet(str(tmp_path / "rows"))
     variants = [transitions.Variant("a", d.MONTHLY, d.MONTHLY, d.MONTHLY), transitions.Variant("b", d.MONTHLY, d.MONTHLY, ())]
     base = shuffled.range(0, 5000, 7).select(F.lit("a").alias("_bv"), F.col("id").cast("string").alias("_ba"))
-    out = transitions._of_base(transitions._by_variant(rows, variants, "history_products"), base).agg(F.count("*").alias("n"))
+    out = transitions._of_base(transitions._by_variant(rows, variants, "history_products"), base).agg(F.sum("id"), F.count("*").alias("n"))
     hot = rows.where("account_id = '7'").count()
     assert out.collect()[0]["n"] >= hot
     assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
