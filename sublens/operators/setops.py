@@ -9,9 +9,9 @@
   it): an aggregate between its shuffle and the join would keep AQE from
   splitting a hot key.
 * ``is_in`` — ``x IN (SELECT k ...)`` as a ``left_semi`` join.
-* ``calendar_covers`` — the range join to the date dimension rewritten to an
-  equi-join on a per-day table built from the calendar alone, broadcast while
-  the calendar's span in days is within a stated bound.
+* ``calendar_covers`` — the range join to the date dimension as a test on the row
+  against a literal, the days from each day of the calendar's span to its next date;
+  an equi-join with a per-day table only where the span is beyond ``LITERAL_DAYS``.
 * ``rows_at_min`` / ``rows_at_max`` — rows holding a group's extreme value,
   ties kept, as aggregate + equi-join back (partial aggregation makes it
   skew-safe; no per-group sort).
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _K = "_in_key"
-BROADCAST_DAYS = 200_000          # span of a calendar whose day table may be broadcast (a few MB)
+LITERAL_DAYS = 50_000             # span of a calendar (137 years) that enters the plans as a literal
 
 
 def _keys(lst: DataFrame, col: str) -> DataFrame:
@@ -97,34 +97,49 @@ def is_in(df: DataFrame, col: str, lst: DataFrame, lst_col: str | None = None) -
     return df.join(_keys(lst, lst_col), F.col(col) == F.col(_K), "left_semi")
 
 
-def calendar_facts(cal: DataFrame, day: dt.date | None = None
-                   ) -> tuple[dt.date | None, dt.date | None, bool]:
-    """(first date, last date, holds ``day``) of the date dimension: one
-    one-row aggregate over a bounded dimension, read once per run."""
-    c = F.to_date("date_dt")
-    has = F.max(c == F.lit(day)) if day is not None else F.lit(False)
-    row = cal.agg(F.min(c).alias("lo"), F.max(c).alias("hi"), has.alias("has")).first()
-    return row["lo"], row["hi"], bool(row["has"])
-
+@dataclass(frozen=True)
+class CalendarFacts:
+    """The date dimension, read once per run: its first and last date, whether it holds
+    the report date, and its dates (in order) while their span is within ``LITERAL_DAYS``."""
 
-def next_calendar_day(cal: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """``(_day, _next_cal)`` for every day from the calendar's first to its
-    last date: the earliest calendar date on or after ``_day``.
+    first: dt.date | None
+    last: dt.date | None
+    holds: bool
+    dates: tuple[dt.date, ...] | None
 
-    Built from the date dimension alone: one row per day of the calendar's
-    span.  Going back from the last day, the latest calendar date met so far
-    is the next one, also across months without any date.
-    """
-    dates = cal.select(F.to_date("date_dt").alias("_c")).where(F.col("_c").isNotNull()).distinct()
-    days = cal.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("_day"))
-    back = Window.orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (days.join(dates, F.col("_day") == F.col("_c"), "left")
-                .select("_day", F.last("_c", ignorenulls=True).over(back).alias("_next_cal")))
+    @classmethod
+    def of(cls, cal: DataFrame, day: dt.date | None = None) -> "CalendarFacts":
+        c = F.to_date("date_dt")
+        has = F.max(c == F.lit(day)) if day is not None else F.lit(False)
+        near = F.datediff(F.max(c), F.min(c)) <= LITERAL_DAYS
+        row = cal.agg(F.min(c).alias("lo"), F.max(c).alias("hi"), has.alias("has"),
+                      F.when(near, F.array_sort(F.collect_set(c))).alias("dates")).first()
+        return cls(row["lo"], row["hi"], bool(row["has"]), None if row["dates"] is None else tuple(row["dates"]))
+
+    def days_to_next(self) -> Column:
+        """For every day of the span, days until the next calendar date: one array literal
+        (a text that the optimizer folds)."""
+        waits, ahead = [], list(reversed(self.dates))
+        for i in range((self.last - self.first).days + 1):
+            day = self.first + dt.timedelta(days=i)
+            while ahead[-1] < day:
+                ahead.pop()
+            waits.append((ahead[-1] - day).days)
+        return F.split(F.lit(",".join(map(str, waits))), ",").cast("array<int>")
+
+
+def next_calendar_day(cal: DataFrame) -> DataFrame:
+    """``(_day, _next_cal)`` for every day after the calendar's first date up to its last: the
+    earliest calendar date on or after ``_day``; and the first date itself.  Each date serves
+    the days since the one before it, also across months without any date."""
+    dates = cal.agg(F.array_sort(F.collect_set(F.to_date("date_dt"))).alias("dates"))
+    ends = dates.select("dates", F.posexplode("dates").alias("i", "_next_cal"))
+    since = F.when(F.col("i") == 0, F.col("_next_cal")).otherwise(F.date_add(F.get("dates", F.col("i") - 1), 1))
+    return ends.select(F.explode(F.sequence(since, F.col("_next_cal"))).alias("_day"), "_next_cal")
 
 
 def calendar_cover_flag(df: DataFrame, cal: DataFrame, start_day: str, end_day: str,
-                        name: str = "_on_calendar",
-                        bounds: tuple[dt.date | None, dt.date | None] | None = None) -> DataFrame:
+                        name: str = "_on_calendar", facts: CalendarFacts | None = None) -> DataFrame:
     """Add boolean ``name``: ``[start_day, end_day]`` holds a calendar date
     (``S JOIN dim_date ON date_dt BETWEEN start AND end`` as a row flag).
 
@@ -132,22 +147,24 @@ def calendar_cover_flag(df: DataFrame, cal: DataFrame, start_day: str, end_day:
     is <= end; a start after its last date never is; otherwise the next
     calendar date on or after the start must be <= end.
     """
-    first, last = bounds if bounds is not None else calendar_facts(cal)[:2]
-    if first is None:                       # empty calendar: nothing is covered
+    facts = facts if facts is not None else CalendarFacts.of(cal)
+    if facts.first is None:                 # empty calendar: nothing is covered
         return df.withColumn(name, F.lit(False))
-    nxt = next_calendar_day(cal, first, last)
-    if (last - first).days <= BROADCAST_DAYS:
-        nxt = F.broadcast(nxt)
-    joined = df.join(nxt, F.col(start_day) == F.col("_day"), "left")
-    covered = F.when(F.col(start_day) < F.lit(first), F.lit(first) <= F.col(end_day)) \
-               .otherwise(F.coalesce(F.col("_next_cal") <= F.col(end_day), F.lit(False)))
-    return joined.withColumn(name, covered).drop("_day", "_next_cal")
+    start, end = F.col(start_day), F.col(end_day)
+    before = start < F.lit(facts.first)
+    if facts.dates is not None:
+        wait = F.get(facts.days_to_next(), F.datediff(start, F.lit(facts.first)))
+        later = F.coalesce(F.date_add(start, wait) <= end, F.lit(False))
+        return df.withColumn(name, F.when(before, F.lit(facts.first) <= end).otherwise(later))
+    joined = df.join(next_calendar_day(cal), start == F.col("_day"), "left")
+    later = F.coalesce(F.col("_next_cal") <= end, F.lit(False))
+    return joined.withColumn(name, F.when(before, F.lit(facts.first) <= end).otherwise(later)).drop("_day", "_next_cal")
 
 
 def calendar_covers(df: DataFrame, cal: DataFrame, start_day: str, end_day: str,
-                    bounds=None) -> DataFrame:
+                    facts: CalendarFacts | None = None) -> DataFrame:
     """Rows whose ``[start_day, end_day]`` holds at least one calendar date."""
-    flagged = calendar_cover_flag(df, cal, start_day, end_day, "_on_calendar", bounds)
+    flagged = calendar_cover_flag(df, cal, start_day, end_day, "_on_calendar", facts)
     return flagged.where("_on_calendar").drop("_on_calendar")
 
 

@@ -178,8 +178,7 @@ def _list_stream(df: DataFrame, bit: str, col: str = ACCOUNT) -> DataFrame:
 def account_masks(co: Cohorts) -> DataFrame:
     """``(account_id, _mask)``: one row per account (NULL included)."""
     src = co.src
-    svc = setops.calendar_cover_flag(co.svc, src.dim_date, P.SD, P.ED, "_cal_any",
-                                     co.calendar[:2])
+    svc = setops.calendar_cover_flag(co.svc, src.dim_date, P.SD, P.ED, "_cal_any", co.calendar)
     rows = (svc.select(F.col(ACCOUNT), _mask_of(_row_flags(co, "_cal_any")).alias(MASK))
                .where(F.col(MASK) != 0))
 

@@ -24,6 +24,7 @@ SERVICE_BASE_DAY = "2024-01-01"
 OFFSET_CYCLE_DAYS = 60
 CALENDAR_FIRST = "2023-12-01"
 CALENDAR_LAST = "2024-12-31"
+CALENDAR_GAP = ("2024-02-05", "2024-02-16")      # days that the calendar lacks
 FIXTURE_TODAY = dt.date(2024, 1, 31)
 FIXTURE_CAMPAIGN_FIRST = dt.date(2024, 1, 5)
 FIXTURE_CAMPAIGN_LAST = dt.date(2024, 1, 11)
@@ -116,7 +117,8 @@ def dim_account(customer: DataFrame) -> DataFrame:
 def dim_date(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(
         F.explode(F.sequence(F.lit(CALENDAR_FIRST).cast("date"),
-                             F.lit(CALENDAR_LAST).cast("date"))).alias("date_dt"))
+                             F.lit(CALENDAR_LAST).cast("date"))).alias("date_dt")
+    ).where(~F.col("date_dt").between(*[F.lit(d).cast("date") for d in CALENDAR_GAP]))
 
 
 def dim_content(part: DataFrame) -> DataFrame:
@@ -229,7 +231,8 @@ dim_account AS (
     FROM customer),
 dim_date AS (
     SELECT CAST(generate_series AS DATE) AS date_dt
-    FROM generate_series(DATE '{CALENDAR_FIRST}', DATE '{CALENDAR_LAST}', INTERVAL 1 DAY)),
+    FROM generate_series(DATE '{CALENDAR_FIRST}', DATE '{CALENDAR_LAST}', INTERVAL 1 DAY)
+    WHERE NOT CAST(generate_series AS DATE) BETWEEN DATE '{CALENDAR_GAP[0]}' AND DATE '{CALENDAR_GAP[1]}'),
 dim_content AS (
     SELECT p_partkey AS dim_content_key,
            CASE WHEN p_type IN ('STANDARD', 'MEDIUM', 'LARGE') THEN 'EPISODE'

@@ -48,18 +48,24 @@ def test_hot_account_is_split(shuffled, tmp_path, op):
     assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_next_day_across_months_without_a_date(spark):
+@pytest.mark.parametrize("literal_days", [50_000, 10])
+def test_next_day_across_months_without_a_date(spark, monkeypatch, literal_days):
+    monkeypatch.setattr(setops, "LITERAL_DAYS", literal_days)
     dates = [dt.date(2024, 1, 5), dt.date(2024, 4, 2), dt.date(2024, 4, 20)]
-    cal = spark.createDataFrame([(d,) for d in dates], "date_dt date")
-    got = {r["_day"]: r["_next_cal"] for r in setops.next_calendar_day(cal, dates[0], dates[-1]).collect()}
+    cal = spark.createDataFrame([(d,) for d in [*dates, None, dates[1]]], "date_dt date")
+    got = {r["_day"]: r["_next_cal"] for r in setops.next_calendar_day(cal).collect()}
     day, last = dates[0], dates[-1]
+    assert len(got) == (last - day).days + 1
     while day <= last:
         assert got[day] == min(d for d in dates if d >= day)
         day += dt.timedelta(days=1)
     svc = spark.createDataFrame([(1, dt.date(2024, 2, 1), dt.date(2024, 3, 31)), (2, dt.date(2024, 2, 1), dt.date(2024, 4, 2)),
-                                 (3, dt.date(2023, 1, 1), dt.date(2024, 1, 4)), (4, dt.date(2024, 4, 21), dt.date(2025, 1, 1))],
-                                "id int, s date, e date")
-    assert [r["id"] for r in setops.calendar_covers(svc, cal, "s", "e").collect()] == [2]
+                                 (3, dt.date(2023, 1, 1), dt.date(2024, 1, 4)), (4, dt.date(2024, 4, 21), dt.date(2025, 1, 1)),
+                                 (5, None, dt.date(2024, 4, 2)), (6, dt.date(2024, 4, 20), None)], "id int, s date, e date")
+    out = setops.calendar_covers(svc, cal, "s", "e")
+    assert [r["id"] for r in out.collect()] == [2]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and ("Join" in plan) == (literal_days == 10)
 
 
 def test_hot_account_is_split_in_the_transition_joins(shuffled, tmp_path):

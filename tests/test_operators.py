@@ -65,8 +65,9 @@ def test_calendar_covers_matches_range_join(spark):
     got = {r.id for r in setops.calendar_covers(df, cal, "s", "e").collect()}
     brute = {i for i, s, e in rows if s is not None and any(s <= c <= e for c in cal_days)}
     assert got == brute
-    first, last, has = setops.calendar_facts(cal, cal_days[0])
-    assert (first, last, has) == (min(cal_days), max(cal_days), True)
+    facts = setops.CalendarFacts.of(cal, cal_days[0])
+    assert (facts.first, facts.last, facts.holds) == (min(cal_days), max(cal_days), True)
+    assert list(facts.dates) == cal_days
 
 
 def test_rows_at_extremes_keep_ties(spark):
