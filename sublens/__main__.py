@@ -22,6 +22,7 @@ from sublens.context import ReportContext, parse_date
 from sublens.plans.report import daily_report
 from sublens.sources import fixtures
 from sublens.sources.sink import write_report
+from sublens.sources.staging import RunFolder
 from sublens.sources.tables import Sources
 
 
@@ -36,19 +37,18 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
 
     today = parse_date(args.today) if args.today else dt.datetime.now(dt.timezone.utc).date()
-    spark = (SparkSession.builder.appName("sublens")
-             # staged tables go when nothing refers to them any more
-             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate())
+    spark = SparkSession.builder.appName("sublens").getOrCreate()
     if args.driver_tables:
         src, ctx = fixtures.load(spark, args.sources), fixtures.fixture_context(today)
     else:
         src, ctx = Sources.from_parquet_dir(spark, args.sources), ReportContext(today=today)
-    report = daily_report(src, ctx, plan=args.plan)
-    if args.out:
-        write_report(report, args.out)
-    else:
-        for row in report.collect():
-            print(f"{row['date']}\t{row['order']}\t{row['measure']}\t{row['value']}")
+    with RunFolder(spark) as run:            # gone at the end, also of a run that fails
+        report = daily_report(src, ctx, plan=args.plan, run=run)
+        if args.out:
+            write_report(report, args.out)
+        else:
+            for row in report.collect():
+                print(f"{row['date']}\t{row['order']}\t{row['measure']}\t{row['value']}")
 
 
 if __name__ == "__main__":

@@ -42,7 +42,7 @@ def candidates(co: Cohorts) -> DataFrame:
     small list: the joins with the service history filter the scan map-side
     instead of shuffling it.  Made once per run and staged."""
     if "_dcb_candidates" not in co.__dict__:
-        co.__dict__["_dcb_candidates"] = co.stage(_make_candidates(co))
+        co.__dict__["_dcb_candidates"] = co.stage(_make_candidates(co), "attribution")
     return co.__dict__["_dcb_candidates"]
 
 

@@ -51,6 +51,7 @@ from sublens.operators import membership, setops
 from sublens.plans import attribution, engagement, transitions
 from sublens.plans.cohorts import BY_ACCOUNT, BY_KEY, HISTORY_KIND, Cohorts
 from sublens.plans.measures import result_row
+from sublens.sources.staging import RunFolder
 from sublens.sources.tables import Sources
 
 ACCOUNT = "account_id"
@@ -332,15 +333,15 @@ def horizon_slice(src: Sources, ctx: ReportContext) -> DataFrame:
     return src.dim_service.where(raw & days).drop("evergent_order_id", "evergent_ord_prod_id")
 
 
-def fused_report(src: Sources, ctx: ReportContext) -> DataFrame:
-    base = Cohorts(src, ctx, staged=True)
-    # pass 1: the day slice; pass 2: the keyed history (both checkpointed)
-    co = Cohorts(src, ctx, service_rows=base.stage(horizon_slice(src, ctx)), staged=True)
-    co.use_history(co.stage(keyed_history(co)))
+def fused_report(src: Sources, ctx: ReportContext, run: RunFolder | None = None) -> DataFrame:
+    base = Cohorts(src, ctx, staged=True, run=run)
+    # pass 1: the day slice; pass 2: the keyed history (both kept)
+    co = Cohorts(src, ctx, service_rows=base.stage(horizon_slice(src, ctx), "slice"), staged=True, run=run)
+    co.use_history(co.stage(keyed_history(co), "history"))
     D = co.D
     acct = account_masks(co)
 
-    vd = co.stage(viewer_days(co))       # events are read once, whatever uses them
+    vd = co.stage(viewer_days(co), "viewer-days")       # events are read once, whatever uses them
     vbits = viewer_bits(co, vd)
     keyed = vbits.where(F.col("e_d") | F.col("e_l7") | F.col("e_l30")).join(
         src.dim_account.select("dim_account_key", ACCOUNT), "dim_account_key")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from sublens.context import ReportContext
 from sublens.plans import measures
 from sublens.plans.cohorts import Cohorts
+from sublens.sources.staging import RunFolder
 from sublens.sources.tables import Sources
 
 REPORT_COLUMNS = ["date", "order", "measure", "value"]
@@ -38,13 +39,14 @@ def sql_report(src: Sources, ctx: ReportContext) -> DataFrame:
     return spark.sql(sql).orderBy("order")
 
 
-def daily_report(src: Sources, ctx: ReportContext, plan: str = "fused") -> DataFrame:
+def daily_report(src: Sources, ctx: ReportContext, plan: str = "fused", run: RunFolder | None = None) -> DataFrame:
     """The report for ``ctx.report_date``; ``plan`` is "fused" (one pass per
     source table), "per_measure" (one plan per measure) or "sql" (the
-    literal statement run by Spark SQL)."""
+    literal statement run by Spark SQL).  With ``run``, what the fused plan keeps for
+    several readers goes to that folder, which must live until the result is read."""
     if plan == "per_measure":
         return per_measure_report(src, ctx)
     if plan == "sql":
         return sql_report(src, ctx)
     from sublens.plans import fused
-    return fused.fused_report(src, ctx)
+    return fused.fused_report(src, ctx, run)

@@ -127,9 +127,9 @@ def _make(co: Cohorts, variants: list[Variant]) -> _Made:
     current = co.not_test(co.current(P.product_in(*all_sub), P.status_not_in(*d.NOT_CURRENT)))
     current = setops.is_in(current, "account_id", candidates.select("account_id"))
     base = co.stage(_by_variant(current, variants, "sub_products").select(
-        F.col(VARIANT).alias("_bv"), F.col("account_id").alias("_ba")))
+        F.col(VARIANT).alias("_bv"), F.col("account_id").alias("_ba")), "subscribers")
     own = co.stage(_of_base(_by_variant(candidates, variants, "history_products").where(is_target), base)
-                   .select(VARIANT, "dim_account_key"))
+                   .select(VARIANT, "dim_account_key"), "owners")
     return _Made(in_history, is_target, base, own)
 
 
