@@ -51,6 +51,7 @@ from sublens.operators import membership, setops
 from sublens.plans import attribution, engagement, transitions
 from sublens.plans.cohorts import BY_ACCOUNT, BY_KEY, HISTORY_KIND, Cohorts
 from sublens.plans.measures import result_row
+from sublens.session import together
 from sublens.sources.staging import RunFolder
 from sublens.sources.tables import Sources
 
@@ -334,14 +335,19 @@ def horizon_slice(src: Sources, ctx: ReportContext) -> DataFrame:
 
 
 def fused_report(src: Sources, ctx: ReportContext, run: RunFolder | None = None) -> DataFrame:
+    spark = src.dim_service.sparkSession
     base = Cohorts(src, ctx, staged=True, run=run)
-    # pass 1: the day slice; pass 2: the keyed history (both kept)
-    co = Cohorts(src, ctx, service_rows=base.stage(horizon_slice(src, ctx), "slice"), staged=True, run=run)
+    # pass 1: the day slice; with it what doesn't need it (events are read once, whatever uses them)
+    rows, vd, _, _ = together(
+        spark, lambda: base.stage(horizon_slice(src, ctx), "slice"), lambda: base.stage(viewer_days(base), "viewer-days"),
+        lambda: base.calendar, lambda: base.test_facts)
+    co = base.over(rows)
+    # what needs the slice alone, then pass 2: the keyed history
+    together(spark, lambda: transitions.owners(co, VARIANTS), lambda: attribution.candidates(co), lambda: co.vip_facts)
     co.use_history(co.stage(keyed_history(co), "history"))
     D = co.D
     acct = account_masks(co)
 
-    vd = co.stage(viewer_days(co), "viewer-days")       # events are read once, whatever uses them
     vbits = viewer_bits(co, vd)
     keyed = vbits.where(F.col("e_d") | F.col("e_l7") | F.col("e_l30")).join(
         src.dim_account.select("dim_account_key", ACCOUNT), "dim_account_key")

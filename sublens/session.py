@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -52,3 +54,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
+
+
+def together(spark: SparkSession, *calls):
+    """Results of independent calls that run Spark jobs, started at the same time: their
+    small jobs fill the gaps of each other's planning and last tasks.  The first
+    failure is raised."""
+    with ThreadPoolExecutor(len(calls)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(c)) for c in calls]
+        return [s.result() for s in started]

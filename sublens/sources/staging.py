@@ -12,7 +12,9 @@ after success or failure alike; ``sweep`` removes what a killed driver has left
 
 from __future__ import annotations
 
+import itertools
 import json
+import threading
 import time
 import uuid
 
@@ -35,17 +37,19 @@ class RunFolder:
         self.spark = spark
         self.path = f"{checkpoint_dir(spark).rstrip('/')}/{PREFIX}{uuid.uuid4().hex}"
         self.stages: list[dict] = []
+        self._numbers, self._lock = itertools.count(), threading.Lock()
         self.began = time.time()
 
     def stage(self, df: DataFrame, name: str = "stage") -> DataFrame:
         """``df`` written and read back."""
-        path = f"{self.path}/{len(self.stages):02d}-{name}"
+        path = f"{self.path}/{next(self._numbers):02d}-{name}"
         began = time.time()
         df.write.parquet(path)
         at, fs = _folder(self.spark, path)
-        self.stages.append({"path": path, "columns": df.columns, "bytes": fs.getContentSummary(at).getLength(),
-                            "seconds": round(time.time() - began, 3)})
-        self._write_manifest()
+        with self._lock:                  # stages may be written at the same time
+            self.stages.append({"path": path, "columns": df.columns, "bytes": fs.getContentSummary(at).getLength(),
+                                "seconds": round(time.time() - began, 3)})
+            self._write_manifest()
         return self.spark.read.schema(df.schema).parquet(path)
 
     @property
