@@ -46,6 +46,7 @@ from sublens.llm.common import run_folder
 
 FILE_BYTES = 32 << 20         # about how much text goes into one file
 END_ID = 1
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 WORD_STORE = 1 << 19          # words and pieces in each half of an encoder's store
 POLYNOMIAL = 0x82F63B78       # CRC-32C, reflected
 MASK_DELTA = 0xA282EAD8
@@ -229,6 +230,8 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
                     [pa.array(part, pa.int32()), b.column(0), pa.array(out, pa.binary())], ["part", "id", "record"])
 
     def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _encoder.cache_clear()            # the worker encodes no more
+        pa.default_memory_pool().release_unused()
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 r = b.column(0).slice(i, 256).to_pylist()
@@ -241,8 +244,14 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     rows = src.mapInArrow(encode, "part int, id long, record binary")
     rows = rows.repartitionById(len(cuts) + 1, F.col("part")).sortWithinPartitions("part", "id", "record")
     frames = rows.select("record").mapInArrow(frame, "value binary")
-    frames.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").option(
-        "compression", "none").text(path)
+    conf = docs.sparkSession.conf
+    before = conf.get(BATCH, None)
+    conf.set(BATCH, str(BATCH_ROWS))      # texts and records are long rows
+    try:
+        frames.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").option(
+            "compression", "none").text(path)
+    finally:
+        conf.unset(BATCH) if before is None else conf.set(BATCH, before)
 
 
 def parse(data: bytes) -> Iterator[tuple[int, int, bytes]]:
