@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with columns that start with an underscore renamed, so that an operator's working
+    columns (which all do) clash with none; and the new name of every column."""
+    taken = {c.lower() for c in df.columns}
+    fresh = (f"c{i}" for i in itertools.count() if f"c{i}" not in taken)
+    names = {c: next(fresh) if c.startswith("_") else c for c in df.columns}
+    return df.select(*[F.col(f"`{old}`").alias(new) for old, new in names.items()]), names
+
+
 def text_bytes(col: Column) -> Column:
     """UTF-8 bytes of a text column; NULL counts as empty."""
     return F.coalesce(col, F.lit("")).cast("binary")

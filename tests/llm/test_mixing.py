@@ -23,7 +23,7 @@ def test_targets_are_met_on_the_whole_table(spark):
     assert np.allclose(p.sum(1), 1) and (rate >= 0).all()
     got = (rate * n) @ p
     assert np.allclose(got / got.sum(), list(mixing.TARGETS.values()), atol=1e-6)
-    assert (rate >= 1).all()                   # nothing is cut without a total
+    assert got.sum() == pytest.approx(n.sum(), rel=1e-6)       # the total stays as it is
     named = np.array(list(mixing.TARGETS))[p.argmax(1)]
     assert np.mean([docs[r["doc_id"]]["lang"] == d for r, d in zip(rows, named, strict=True)]) > 0.95
     copies = np.array([r["copies"] for r in rows])
@@ -63,13 +63,13 @@ def test_rates_solve_the_least_squares_problem(spark, weights, total):
     r = np.array([x[0] for x in rows.select(mixing.rate(moves)).collect()])
     w = np.array(weights) / np.sum(weights)
     a = (n[:, None] * p).T
-    t = total if total else mixing.HEADROOM * max(h / x for h, x in zip(a.sum(1), w, strict=True) if x)
+    t = total if total else n.sum()
     x, step = np.ones(80), 1 / np.linalg.eigvalsh(a @ a.T).max()
     for _ in range(20_000):
-        x = np.clip(x - step * a.T @ (a @ x - w * t), 0, mixing.MAX_RATE)
+        x = np.maximum(x - step * a.T @ (a @ x - w * t), 0)
     best = np.linalg.norm(a @ x - w * t)
-    assert (r >= 0).all() and (r <= mixing.MAX_RATE).all()
-    assert np.linalg.norm(a @ r - w * t) <= best + 0.02 * t
+    assert (r >= 0).all()
+    assert np.linalg.norm(a @ r - w * t) <= best + (0.02 if total == 40_000 else 0.001) * t      # the last is out of reach
 
 
 @pytest.mark.parametrize("soft", [0.05, 1.0])
@@ -82,7 +82,7 @@ def test_default_total_loses_no_row_beside_soft_posteriors(spark, soft):
     n = rng.integers(1, 400, 2000).astype(float)
     rows = spark.createDataFrame([(i, float(a), b.tolist()) for i, (a, b) in enumerate(zip(n, p, strict=True))],
                                  "doc_id long, _n double, _p array<double>")
-    out = rows.withColumn("_rate", mixing.rate(mixing.solve_rates(rows, [0.4, 0.2, 0.2, 0.2])))
+    out = rows.withColumn("_rate", mixing.rate(mixing.solve_rates(rows, [0.4, 0.2, 0.2, 0.2], least=1.0)))
     got = out.orderBy("doc_id").select("_rate", mixing.copies().alias("c")).collect()
     r = np.array([x["_rate"] for x in got])
     assert (r >= 1).all() and all(x["c"] >= 1 for x in got)
@@ -96,7 +96,7 @@ def test_scarce_domains_meet_their_targets(spark, share):
     k = rng.choice(4, 2000, p=[0.4 - share, 0.3, 0.3, share])
     n = rng.integers(1, 400, 2000).astype(float)
     rows = spark.createDataFrame([(float(a), np.eye(4)[i].tolist()) for a, i in zip(n, k, strict=True)], "_n double, _p array<double>")
-    r = np.array([x[0] for x in rows.select(mixing.rate(mixing.solve_rates(rows, [0.4, 0.2, 0.2, 0.2]))).collect()])
+    r = np.array([x[0] for x in rows.select(mixing.rate(mixing.solve_rates(rows, [0.4, 0.2, 0.2, 0.2], least=1.0))).collect()])
     assert np.allclose(np.bincount(k, r * n) / (r @ n), [0.4, 0.2, 0.2, 0.2], atol=1e-5) and (r >= 1).all()
 
 
@@ -104,17 +104,17 @@ def test_absent_domain_is_named_and_leaves_the_others_right(spark):
     rows = spark.createDataFrame([(100.0, [1.0, 0.0, 0.0])] * 9 + [(100.0, [0.0, 1.0, 0.0]), (0.0, [0.3, 0.3, 0.4])],
                                  "_n double, _p array<double>")
     with pytest.warns(UserWarning, match="off their targets"):
-        solved = mixing.solve_rates(rows, [0.4, 0.4, 0.2])
+        solved = mixing.solve_rates(rows, [0.4, 0.4, 0.2], least=1.0)
     r = [x[0] for x in rows.select(mixing.rate(solved)).collect()]
     assert r[:10] == pytest.approx([1.02] * 9 + [1.02 * 9]) and r[10] == 1
 
 
 def test_many_copies_of_a_row(spark):
     docs = spark.createDataFrame([(i, "the of and " * 300, "en") for i in range(40)] + [(99, "y", "es")], "doc_id long, text string, lang string")
-    out = mixing.mix(docs, docs, docs.select("doc_id", "lang"), targets={"en": 0.5, "es": 0.5})
+    out = mixing.mix(docs, docs, docs.select("doc_id", "lang"), targets={"en": 0.5, "es": 0.5}, least=1.0)
     got = {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert got[99] > mixing.BLOCK and all(got[i] >= 1 for i in range(40))
-    rated = mixing.rated(docs, docs, docs.select("doc_id", "lang"), targets={"en": 0.5, "es": 0.5}).collect()
+    rated = mixing.rated(docs, docs, docs.select("doc_id", "lang"), targets={"en": 0.5, "es": 0.5}, least=1.0).collect()
     share = [sum(r["_rate"] * r["_n"] * r["_p"][i] for r in rated) for i in (0, 1)]
     assert share[1] / sum(share) == pytest.approx(0.5, abs=1e-5)
 
@@ -149,3 +149,12 @@ def test_total_cuts_and_repeats(spark):
 def test_no_python_in_the_plan(spark):
     plan = op5_mixing(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_columns_may_have_the_names_of_working_columns(spark):
+    names = ["_n", "_p", "_w", "_s", "_log", "_e", "_rate", "_left", "_at", "_copy", "c0", "_r"]
+    docs = spark.createDataFrame([(i, f"the of and {i}", "en", *[f"{n}{i}" for n in names]) for i in range(6)],
+                                 ["doc_id", "_text", "lang", *names])
+    out = mixing.mix(docs, docs, docs.select("doc_id", "lang"), text_col="_text", least=1.0)
+    assert out.columns == docs.columns
+    assert {tuple(r) for r in out.collect()} == {tuple(r) for r in docs.collect()}
