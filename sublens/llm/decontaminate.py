@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sublens.llm.common import text_bytes
+from sublens.llm.common import aside, text_bytes
 
 WINDOW = 13
 COVERAGE = (1, 20)            # contaminated from this share of hit words on
@@ -242,7 +242,9 @@ def remove_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", cove
                  span_words: int | None = None, **options) -> DataFrame:
     """docs with the hit spans cut out of the texts of contaminated documents;
     with ``span_words`` also every span of at least that many words, wherever it is."""
-    found = verdicts(scan(docs, items, text_col, **options), coverage)
+    clear, names = aside(docs)
+    text_col = names[text_col]
+    found = verdicts(scan(clear, items, text_col, **options), coverage)
     take = F.when(F.col("_contaminated"), F.col("_spans")).otherwise(
         F.array().cast(SPANS) if span_words is None
         else F.filter("_spans", lambda s: s["end"] - s["start"] >= span_words))
@@ -257,11 +259,12 @@ def remove_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", cove
                    for t, s in zip(b.column(at), b.column(sp), strict=True)]
             yield b.set_column(at, text_col, pa.array(new, b.schema.field(at).type))
 
-    return found.mapInArrow(run, schema).select(*docs.columns)
+    return found.mapInArrow(run, schema).select(*[F.col(f"`{new}`").alias(old) for old, new in names.items()])
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
                       coverage: tuple[int, int] = COVERAGE, **options) -> DataFrame:
-    """docs without the contaminated ones; all others as they are."""
-    found = verdicts(scan(docs, items, text_col, **options), coverage)
-    return found.filter(~F.col("_contaminated")).select(*docs.columns)
+    """docs without the contaminated ones; all others as they are, whatever their columns' names."""
+    clear, names = aside(docs)
+    found = verdicts(scan(clear, items, names[text_col], **options), coverage)
+    return found.filter(~F.col("_contaminated")).select(*[F.col(f"`{new}`").alias(old) for old, new in names.items()])

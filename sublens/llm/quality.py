@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sublens.llm.common import discard, stored
+from sublens.llm.common import aside, discard, stored
 from sublens.llm.linear import class_sizes, constant, count_features, fold, labelled_sample, platt, sigmoid
 
 SAMPLE = 20_000
@@ -213,6 +213,8 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", folds:
 def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 4, held: int = 2,
               threshold: float = THRESHOLD, sample: int = SAMPLE,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that score below the threshold; all columns kept."""
+    """docs without the rows that score below the threshold; all columns kept, whatever their names."""
     model = fit(docs, labels, label, folds, held, sample, id_col, text_col)
-    return score(docs, model, text_col, "_score").filter(F.col("_score") >= threshold).select(*docs.columns)
+    clear, names = aside(docs)
+    kept = score(clear, model, names[text_col], "_score").filter(F.col("_score") >= threshold)
+    return kept.select(*[F.col(f"`{new}`").alias(old) for old, new in names.items()])

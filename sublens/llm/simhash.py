@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sublens.llm.common import checkpointed, text_bytes
+from sublens.llm.common import aside, checkpointed, text_bytes
 from sublens.llm.components import components
 
 SEED = 42
@@ -222,8 +222,10 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                width: int = WIDTH, max_bits: int = MAX_BITS) -> DataFrame:
     """df with one row of each component, all columns kept: that of the
     smallest id (NULL last); of rows that tie, the one whose text hashes lowest;
-    of repeated rows, one."""
-    keyed = df.withColumn("_th", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    of repeated rows, one.  Columns may have any names."""
+    clear, names = aside(df)
+    id_col, text_col = names[id_col], names[text_col]
+    keyed = clear.withColumn("_th", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     rows = checkpointed(simhash_rows(keyed, id_col, text_col, width, max_bits, ["_th"]))
     best = checkpointed(rows.groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_th")).alias("m"))
@@ -233,4 +235,4 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeated = rows.groupBy("id", "_th").count().filter("count > 1").limit(1).count()
     if repeated:
         kept = kept.dropDuplicates([id_col, "_th"])
-    return kept.drop("_th")
+    return kept.select(*[F.col(f"`{new}`").alias(old) for old, new in names.items()])
