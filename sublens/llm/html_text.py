@@ -4,21 +4,26 @@ A page's tags are read into a tree in which missing tags are implied (a block
 closes an open paragraph, an item or cell closes its neighbour, a cell without a row
 opens one, a closing tag closes what is still open inside).  Rendering walks the tree, leaves out what a
 browser does not show (head, scripts, styles, templates, elements that are
-hidden by their own attribute or style), collapses white space outside ``pre``, puts blocks on lines of their
+hidden by their own attribute or style; a visible child of an invisible element is shown), collapses white space outside ``pre``, puts blocks on lines of their
 own with a blank line around paragraphs, headings, lists and tables, marks list items
-by nesting and number, and pads table cells so that columns line up.  A table with anything
+by nesting and number, and pads table cells so that columns line up, beside cells that span rows too.  The end tag of an
+inline element does not close a block that is open inside it.  A table with anything
 shown outside its rows' cells and captions is rendered like any other block.
 
-Nothing is recursive, so depth is no limit.  Defined cases: NULL and empty pages give an empty text; a tag
+Nothing is recursive, so depth is no limit; open tags are found by name, so time is linear in the page.  Defined cases: NULL and empty pages give an empty text; a tag
 without an end is text; unknown tags are inline; text outside any element is
 shown; repeated rows are repeated; NULL ids are kept.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
+import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,6 +38,7 @@ ATTR = re.compile(
 MAY_HIDE = re.compile("hidden|style", re.I)
 CSS_OTHER = re.compile(r"/\*.*?(?:\*/|\Z)|\"[^\"]*+\"|'[^']*+'|\([^()]*+\)", re.S)      # comments, strings, arguments
 COLSPAN = re.compile(r"\s*(\d{1,3})")
+ROWSPAN = re.compile(r"\s*(\d{1,5})")
 START = re.compile(r"\s*(-?\d{1,9})")
 SPACE = re.compile(r"[ \t\r\n\f]+")
 
@@ -63,6 +69,8 @@ GROUPS = frozenset("table thead tbody tfoot".split())
 # where a table's parts stand; one elsewhere makes it no plain table
 PARENTS = {"tr": GROUPS, "thead": GROUPS, "tbody": GROUPS, "tfoot": GROUPS, "caption": GROUPS,
            "td": {"tr"}, "th": {"tr"}, "colgroup": {"table"}, "col": {"table", "colgroup"}}
+WALLS = BLOCKS | {"td", "th", "button"}
+ENDS_CELLS = frozenset("table tr tbody thead tfoot body html".split())
 P_BOUNDS = {"td", "th", "caption", "button", "table", "html", "body", "li", "div", "blockquote", "article", "section"}
 
 
@@ -77,17 +85,31 @@ class Node:
 def build(page: str) -> Node:
     root = Node("#root")
     stack = [root]
+    places: dict[str, list[int]] = defaultdict(list)       # of the open elements of a name, in the stack
+    blocks: list[int] = []                                 # of the open blocks and cells
+
+    def push(node: Node) -> None:
+        places[node.tag].append(len(stack))
+        if node.tag in WALLS:
+            blocks.append(len(stack))
+        stack.append(node)
+
+    def pop_to(size: int) -> None:
+        while len(stack) > size:
+            tag = stack.pop().tag
+            places[tag].pop()
+            if tag in WALLS:
+                blocks.pop()
+
+    def nearest(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
 
     def close(tags, bounds) -> None:
         """Pop up to and with the outermost of ``tags`` above a bound."""
-        cut = None
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                cut = i
-            elif stack[i].tag in bounds:
-                break
-        if cut is not None:
-            del stack[cut:]
+        above = nearest(bounds)
+        cuts = [p[i] for t in tags if (p := places.get(t)) and (i := bisect.bisect_right(p, above)) < len(p)]
+        if cuts:
+            pop_to(min(cuts))
 
     at = 0
     while True:
@@ -102,25 +124,25 @@ def build(page: str) -> Node:
             continue
         tag = m["tag"].lower()
         if m["end"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if stack[i].tag in ("table", "td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
-                    break                              # a stray end tag does not leave its cell
+            i = nearest((tag,))
+            if not i or i < nearest(("table", "td", "th")) and tag not in ENDS_CELLS:
+                continue                               # a stray end tag does not leave its cell
+            if tag not in WALLS and blocks and blocks[-1] > i and shown(stack[i]):
+                continue                               # nor does an inline one end a block inside
+            pop_to(i)
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in stack):
+        if tag in ("html", "body") and places.get(tag):
             continue
         if tag in CLOSES:
             close(CLOSES[tag], BOUNDS.get(tag, {"table"}))
         if tag in CLOSES_P:
             close(("p",), P_BOUNDS)
             if tag not in ("head", "html") and len(stack) > 1 and stack[-1].tag == "head":
-                stack.pop()
+                pop_to(len(stack) - 1)
         if tag in ("td", "th") and stack[-1].tag in GROUPS:
             row = Node("tr")
             stack[-1].kids.append(row)
-            stack.append(row)
+            push(row)
         node = Node(tag, m["attrs"])
         stack[-1].kids.append(node)
         if tag in RAW:
@@ -129,7 +151,7 @@ def build(page: str) -> Node:
             node.kids.append(html.unescape(inner) if tag in ("title", "textarea") else inner)
             at = end.end() if end else len(page)
         elif tag not in VOID and not m["attrs"].endswith("/") or tag in BLOCKS and tag not in VOID:
-            stack.append(node)
+            push(node)
 
 
 class Lines:
@@ -191,14 +213,12 @@ def attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def _hidden(raw: str) -> bool:
-    """Hidden by the attribute of that name or by the style, whose last word counts
-    unless an earlier one is important."""
+def _looks(raw: str) -> tuple[bool, str]:
+    """Not displayed by the attribute hidden or by the style, and the style's visibility.  The last word
+    of a property counts unless an earlier one is important."""
     if not MAY_HIDE.search(raw):
-        return False
+        return False, ""
     found = attributes(raw)
-    if "hidden" in found:
-        return True
     style: dict[str, tuple[str, bool]] = {}
     for part in CSS_OTHER.sub(" ", found.get("style", "")).lower().split(";"):
         name, _, value = part.partition(":")
@@ -206,33 +226,48 @@ def _hidden(raw: str) -> bool:
         name, value = name.strip(), value.strip()
         if value and (bang or not style.get(name, ("", False))[1]):
             style[name] = (value, bool(bang))
-    return style.get("display", ("",))[0] == "none" or style.get("visibility", ("",))[0] == "hidden"
+    display = style.get("display", ("",))[0]
+    return display == "none" or not display and "hidden" in found, style.get("visibility", ("",))[0]
 
 
 def shown(node: Node) -> bool:
-    return node.tag not in NOT_SHOWN and not (node.attrs and _hidden(node.attrs)) and not (
+    return node.tag not in NOT_SHOWN and not (node.attrs and _looks(node.attrs)[0]) and not (
         node.tag == "input")
 
 
-def _columns(cell: Node) -> int:
-    m = COLSPAN.match(attributes(cell.attrs).get("colspan", "")) if cell.attrs else None
-    return max(1, int(m[1])) if m else 1
+def visible(node: Node, around: bool) -> bool:
+    """Whether the node's own text is seen; if its style does not say, as around it."""
+    word = _looks(node.attrs)[1] if node.attrs else ""
+    return True if word in ("visible", "initial") else False if word in ("hidden", "collapse") else around
+
+
+class Cell(NamedTuple):
+    text: str
+    columns: int
+    rows: int                     # 0: all that are left in its part of the table
 
 
-def table_rows(table: Node) -> tuple[list[list[tuple[Node, int]]], list[Node]]:
-    """Rows of (cell, columns it spans), in order; and the captions."""
-    rows, captions, todo = [], [], [table]
+def _cell(node: Node, seen: bool) -> Cell:
+    found = attributes(node.attrs) if node.attrs else {}
+    columns, rows = COLSPAN.match(found.get("colspan", "")), ROWSPAN.match(found.get("rowspan", ""))
+    return Cell(" ".join(render(node, visible(node, seen)).split()), max(1, int(columns[1])) if columns else 1,
+                int(rows[1]) if rows else 1)
+
+
+def table_rows(table: Node, seen: bool = True) -> tuple[list[tuple[Node, list[Cell]]], list[str]]:
+    """(part of the table, cells) of each row, in order; and the captions."""
+    rows, captions, todo = [], [], [(table, seen, table)]
     while todo:
-        n = todo.pop()
+        n, seen, part = todo.pop()
         if n.tag == "tr":
-            rows.append([(k, _columns(k)) for k in n.kids
-                         if isinstance(k, Node) and k.tag in ("td", "th") and shown(k)])
+            rows.append((part, [_cell(k, seen) for k in n.kids
+                                if isinstance(k, Node) and k.tag in ("td", "th") and shown(k)]))
         elif n.tag == "caption":
-            captions.append(n)
+            captions.append(" ".join(render(n, seen).split()))
         else:
-            todo += [k for k in reversed(n.kids) if isinstance(k, Node) and shown(k)
+            todo += [(k, visible(k, seen), n) for k in reversed(n.kids) if isinstance(k, Node) and shown(k)
                      and k.tag in ("tr", "thead", "tbody", "tfoot", "caption")]
-    return [r for r in rows if r], captions
+    return rows, captions
 
 
 def _only_cells(table: Node) -> bool:
@@ -251,36 +286,57 @@ def _only_cells(table: Node) -> bool:
     return True
 
 
-def _table_lines(table: Node) -> list[str]:
-    rows, captions = table_rows(table)
-    cells = [[(" ".join(render(c).split()), span) for c, span in row] for row in rows]
+def _table_lines(table: Node, seen: bool) -> list[str]:
+    rows, out = table_rows(table, seen)
+    placed: list[list[tuple[int, Cell]]] = []
     widths: dict[int, int] = {}
-    for row in cells:
-        at = 0
-        for text, span in row:
-            if span == 1:
-                widths[at] = max(widths.get(at, 0), len(text))
-            at += span
-    out = [" ".join(render(c).split()) for c in captions]
-    for row in cells:
-        at, line = 0, []
-        for text, span in row:
-            width = sum(widths.get(i, 0) for i in range(at, at + span)) + 2 * (span - 1)
-            line.append(text.ljust(width))
-            at += span
+    taken: dict[int, float] = {}           # column -> rows that a cell from above still covers
+    part = None
+    for now, row in rows:
+        if now is not part:
+            part, taken = now, {}
+        at, places, below = 0, [], {}
+        for cell in row:
+            while at in taken:
+                at += 1
+            places.append((at, cell))
+            if cell.columns == 1:
+                widths[at] = max(widths.get(at, 0), len(cell.text))
+            if cell.rows != 1:
+                below.update(dict.fromkeys(range(at, at + cell.columns), cell.rows - 1 if cell.rows else math.inf))
+            at += cell.columns
+        taken = {c: n - 1 for c, n in taken.items() if n > 1} | below
+        placed.append(places)
+    for places in placed:
+        line, end = [], 0
+        for at, cell in places:
+            line += [" " * widths.get(i, 0) for i in range(end, at)]
+            end = at + cell.columns
+            line.append(cell.text.ljust(sum(widths.get(i, 0) for i in range(at, end)) + 2 * (cell.columns - 1)))
         out.append("  ".join(line).rstrip())
     return [x for x in out if x]
 
 
-def render(root: Node) -> str:
-    """The shown text of a tree."""
+def _first_number(items: Node) -> tuple[int, int]:
+    """Number of a list's first item, and the step to the next."""
+    found = attributes(items.attrs) if items.attrs else {}
+    m, step = START.match(found.get("start", "")), -1 if "reversed" in found else 1
+    if m:
+        return int(m[1]), step
+    return 1 if step > 0 else sum(isinstance(k, Node) and k.tag == "li" and shown(k) for k in items.kids), step
+
+
+def render(root: Node, seen: bool = True) -> str:
+    """The shown text of a tree, whose root's own text is seen or not."""
     out = Lines()
-    lists: list[list] = []                 # open lists: [number or None, indent outside]
-    todo: list[tuple[Node | str, str]] = [(root, "in")]
+    lists: list[list] = []                 # open lists: [number or None, indent outside, step]
+    todo: list[tuple[Node | str, str, bool]] = [(root, "in", seen)]
     pre = 0
     while todo:
-        n, way = todo.pop()
+        n, way, seen = todo.pop()
         if isinstance(n, str):
+            if not seen:
+                continue
             if pre:
                 parts = n.replace("\r\n", "\n").split("\n")
                 for i, line in enumerate(parts):
@@ -312,6 +368,8 @@ def render(root: Node) -> str:
             continue
         if not shown(n):
             continue
+        if n is not root and n.attrs:
+            seen = visible(n, seen)
         if tag == "br":
             if out.now:
                 out.stop()
@@ -320,7 +378,7 @@ def render(root: Node) -> str:
             continue
         if tag == "table" and n is not root and _only_cells(n):
             out.gap()
-            for line in _table_lines(n):
+            for line in _table_lines(n, seen):
                 out.literal(line)
             out.gap()
             continue
@@ -331,20 +389,19 @@ def render(root: Node) -> str:
         if tag == "pre":
             pre += 1
         elif tag in ("ul", "ol", "menu"):
-            number = None
-            if tag == "ol":
-                m = START.match(attributes(n.attrs).get("start", ""))
-                number = int(m[1]) if m else 1
-            lists.append([number, out.indent])
+            number, step = _first_number(n) if tag == "ol" else (None, 0)
+            lists.append([number, out.indent, step])
         elif tag == "li":
             number = lists[-1][0] if lists else None
+            if number is not None and n.attrs and (m := START.match(attributes(n.attrs).get("value", ""))):
+                number = int(m[1])
             mark = "- " if number is None else f"{number}. "
             if lists and number is not None:
-                lists[-1][0] += 1
+                lists[-1][0] = number + lists[-1][2]
             out.indent = (lists[-1][1] if lists else 0) + len(mark)
-            out.mark = mark
-        todo.append((n, "out"))
-        todo += [(k, "in") for k in reversed(n.kids)]
+            out.mark = mark if seen else ""
+        todo.append((n, "out", seen))
+        todo += [(k, "in", seen) for k in reversed(n.kids)]
     out.stop()
     while out.lines and not out.lines[-1]:
         out.lines.pop()

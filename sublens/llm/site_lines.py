@@ -2,8 +2,8 @@
 
 Pages are grouped by the host of their url.  A line's ratio is the number of
 the host's pages that contain it divided by the host's pages; lines whose ratio
-exceeds ``ratio`` are boilerplate and go from every page of the host.  Hosts with
-fewer than ``min_pages`` pages say nothing about frequency and keep all lines.
+exceeds ``ratio`` are boilerplate and go from every page of the host, however small the host is.  A line
+on one page alone (fewer than ``least`` pages) recurs nowhere and is no boilerplate.
 
 Counts are grouped sums, combined before the shuffle; the table of boilerplate
 lines is stored before it is joined back, so a host or line that a third of all
@@ -19,10 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sublens.llm.common import stored
+from sublens.llm.common import discard, stored
 
 RATIO = 0.3
-MIN_PAGES = 5
+LEAST = 2                     # pages a line must be on
 
 
 def host(url: Column) -> Column:
@@ -36,7 +36,7 @@ def _line_keys(line: Column) -> tuple[Column, Column]:
 
 
 def drop_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", text_col: str = "text",
-               ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+               ratio: float = RATIO, least: int = LEAST) -> DataFrame:
     """(id_col, host, n_lines, n_dropped, text) for every row; n_lines counts
     lines with something on them."""
     rows = pages.select(F.col(id_col).alias("id"), host(F.col(url_col)).alias("host"),
@@ -49,11 +49,12 @@ def drop_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     a, b = _line_keys(F.col("line"))
     found = rows.select("host", F.explode(F.array_distinct(F.transform(F.split("t", "\n"), F.trim))).alias("line")).filter(
         "line <> ''").select("host", a, b).groupBy("host", "a", "b").agg(F.count("*").alias("n"))
-    totals = stored(rows.groupBy("host").agg(F.count("*").alias("pages")), "site-totals").filter(F.col("pages") >= min_pages)
-    # lines on one page of a host that counts cannot exceed the ratio of a larger host; most go here
-    common = stored(found.filter(F.col("n") > ratio * min_pages), "site-common")
+    totals = stored(rows.groupBy("host").agg(F.count("*").alias("pages")), "site-totals")
+    # most lines are on one page and go here
+    common = stored(found.filter(F.col("n") >= least), "site-common")
     bad = stored(common.join(totals, "host").filter(F.col("n") > F.lit(ratio) * F.col("pages")).select(
         "host", "a", "b", F.lit(True).alias("bad")), "site-boilerplate")
+    discard(totals, common)
     # only places and hashes travel, not the lines
     hits = lines.select("id", "host", "k", "k2", "at", a, b).join(bad, ["host", "a", "b"]).groupBy(
         "id", "host", "k", "k2").agg(F.collect_list("at").alias("gone"))

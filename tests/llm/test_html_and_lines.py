@@ -1,6 +1,7 @@
 """HTML rendering on hand-made pages and against the standard parser's words; line dedup against plain counting."""
 
 import re
+import time
 from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import urlsplit
@@ -104,14 +105,14 @@ def test_html_edge_rows(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
-def plain_lines(rows, ratio=0.3, least=5):
+def plain_lines(rows, ratio=0.3, least=2):
     def host(u):
         return (urlsplit(u or "").hostname or "") if "://" in (u or "") else ""
     distinct = {(i, host(u), t or "") for i, u, t in rows}
     pages, seen = Counter(h for _, h, _ in distinct), Counter()
     for _, h, t in distinct:
         seen.update({(h, x.strip(" ")) for x in t.split("\n")} - {(h, "")})
-    bad = {k for k, n in seen.items() if pages[k[0]] >= least and n > ratio * pages[k[0]]}
+    bad = {k for k, n in seen.items() if n >= least and n > ratio * pages[k[0]]}
     out = []
     for i, u, t in rows:
         ls = (t or "").split("\n")
@@ -139,3 +140,29 @@ def test_line_dedup_edge_rows(spark):
     df = spark.createDataFrame([(*r, "z") for r in rows], "page_id int, url string, text string, host string")
     assert got_lines(df) == plain_lines(rows)
     assert got_lines(df.limit(0)) == []
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<b>x<p>y</b>z</p>w", "x\n\nyz\n\nw"),
+    ("<b hidden>x<p>y</b>z</p>w", "zw"),
+    ('<div style="visibility:hidden">a<span style="visibility:visible">b</span>c</div>', "b"),
+    ("<table><tr><td rowspan=2>a<td>bb<td>c<tr><td>d<td>e<tr><td>f<td>g<td>h</table>", "a  bb  c\n   d   e\nf  g   h"),
+    ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+    ("<ol reversed><li>a<li>b<li value=9>c<li>d</ol>", "4. a\n3. b\n9. c\n8. d"),
+])
+def test_inline_ends_visibility_and_spans(page, want):
+    assert html_text.page_text(page) == want
+
+
+def test_time_is_linear_in_stray_tags():
+    for page in ("<b>" * 100_000 + "</i>" * 100_000, "<i>" * 100_000 + "<hr>" * 100_000):
+        start = time.process_time()
+        html_text.page_text(page)
+        assert time.process_time() - start < 20
+
+
+def test_lines_of_small_hosts_are_judged(spark):
+    pages = spark.createDataFrame(
+        [(i, "http://a.b/x", f"menu\nown {i}") for i in range(3)] + [(7, "http://c.d", "alone")], "page_id long, url string, text string")
+    got = {r["page_id"]: r["text"] for r in site_lines.drop_lines(pages).collect()}
+    assert got == {0: "own 0", 1: "own 1", 2: "own 2", 7: "alone"}
