@@ -34,7 +34,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     none is lost."""
     labelled = docs.select("doc_id", "lang").join(
         table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
-    return mixing.mix(docs, docs, labelled)
+    return mixing.mix(docs, docs, labelled, least=1.0)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
