@@ -10,8 +10,9 @@ document with a smaller id.  Documents are never joined into one text:
 2. Keys that only one document has cannot belong to a repeat.  They are found
    by shuffling the keys alone, packed in blocks.
 3. The segments of the other keys are shuffled by key, each different segment
-   once, with the smallest id that has it (its owner).  A task builds suffix arrays over
-   shards of whole keys by induced sorting, takes permuted common prefixes,
+   once, with the smallest id that has it (its owner).  Keys of one owner are
+   settled; over shards of the others a task builds suffix arrays
+   by induced sorting, takes permuted common prefixes,
    and in each run of suffixes that share ``length`` bytes finds the smallest
    owner: the windows of a segment that a smaller id also has.
 4. Each document gets back the spans of its segments: a segment owned by a
@@ -266,6 +267,20 @@ def shard_covers(parts: list[bytes], owners: np.ndarray, length: int = LENGTH) -
     return out
 
 
+def key_covers(keys: np.ndarray, parts: list[bytes], owners: np.ndarray, length: int = LENGTH) -> list[list[dict]]:
+    """The same for segments sorted by key.  Equal windows have equal keys, so a key whose
+    segments all have one owner has nothing to find and stays out of the suffix array."""
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    several = np.minimum.reduceat(owners, first) != np.maximum.reduceat(owners, first)
+    take = np.flatnonzero(np.repeat(several, np.diff(np.append(first, len(keys)))))
+    out: list[list[dict]] = [[]] * len(parts)
+    if len(take):
+        found = shard_covers([parts[i] for i in take.tolist()], owners[take], length)
+        for i, c in zip(take.tolist(), found, strict=True):
+            out[i] = c
+    return out
+
+
 def _covers(segs: DataFrame, length: int) -> DataFrame:
     """segs (key, content, owner, segment) -> (key, content, owner, cover)."""
 
@@ -273,8 +288,8 @@ def _covers(segs: DataFrame, length: int) -> DataFrame:
         held, size, last = [], 0, None
 
         def flush():
-            covers = shard_covers([r[3] for r in held], np.array([r[2] for r in held], dtype=np.int64), length)
-            k, c, o, _ = zip(*held, strict=True)
+            k, c, o, parts = zip(*held, strict=True)
+            covers = key_covers(np.array(k, dtype=np.int64), parts, np.array(o, dtype=np.int64), length)
             return pa.RecordBatch.from_arrays(
                 [pa.array(k, pa.int64()), pa.array(c, pa.int64()), pa.array(o, pa.int64()),
                  pa.array(covers, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],

@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 MANY_SYMBOLS = 2_000          # beyond, a batch per symbol costs more than ranks doubled
+LOW = np.uint64(1) << np.array([16, 32, 48], dtype=np.uint64)       # first bits of a second, third, fourth symbol
 
 
 def _groups(items: np.ndarray, symbols: np.ndarray) -> list[tuple[int, np.ndarray]]:
@@ -26,12 +27,13 @@ def _groups(items: np.ndarray, symbols: np.ndarray) -> list[tuple[int, np.ndarra
 def suffix_types(t: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the next one (the last one is)."""
     n = len(t)
-    differ = np.flatnonzero(t[1:] != t[:-1])
+    unlike = t[1:] != t[:-1]
+    differ = np.flatnonzero(unlike)
     smaller = np.empty(n, dtype=bool)
     smaller[-1] = True
     if n > 1:
         # equal neighbours have the type of the next differing pair
-        at = np.searchsorted(differ, np.arange(n - 1))
+        at = np.cumsum(unlike) - unlike
         there = differ[np.minimum(at, len(differ) - 1)]
         smaller[:-1] = t[there] < t[there + 1]
     return smaller
@@ -74,21 +76,28 @@ def _induce(t: np.ndarray, smaller: np.ndarray, starts: np.ndarray) -> np.ndarra
 
 
 def _doubled(t: np.ndarray) -> np.ndarray:
-    """Suffix array by doubling ranks."""
+    """Suffix array by doubling ranks.  A rank is the place of the first suffix of
+    its group; groups of one suffix are final and take part no more."""
     n = len(t)
-    _, rank = np.unique(t, return_inverse=True)
-    rank, step = rank.astype(np.int64), 1
+    order = np.argsort(t, kind="stable")
+    slot, key = np.arange(n), t[order]
+    at = order
+    rank, step = np.empty(n, dtype=np.int64), 1
     while True:
-        second = np.zeros(n, dtype=np.int64)
-        second[:n - step] = rank[step:] + 1
-        key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        new = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
-        rank[order] = new
-        step *= 2
-        if new[-1] == n - 1 or step >= n:
+        first = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[at] = np.maximum.accumulate(np.where(first, slot, 0))
+        slot = slot[~(first & np.append(first[1:], True))]
+        if not len(slot):
             return order
+        at = order[slot]
+        second = np.zeros(len(at), dtype=np.int64)
+        inside = at < n - step
+        second[inside] = rank[at[inside] + step] + 1
+        key = rank[at] * (n + 1) + second
+        move = np.argsort(key)            # equal ones stay one group, in any order
+        key, at = key[move], at[move]
+        order[slot] = at
+        step *= 2
 
 
 def _names(t: np.ndarray, starts: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -133,6 +142,25 @@ def suffix_array(t: np.ndarray, many_symbols: int = MANY_SYMBOLS) -> np.ndarray:
     return _induce(t, smaller, order)
 
 
+def _common(t: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The common prefixes of the suffixes at a and at b, as many symbols at a time as
+    64 bits hold.  None runs past the end: the last symbol occurs once."""
+    bits = 16 if t.dtype.itemsize <= 2 else 64
+    many = 64 // bits
+    word = t.astype(np.uint64)
+    for i in range(1, min(many, len(t))):
+        word[:-i] |= t[i:].astype(np.uint64) << np.uint64(bits * i)
+    length = np.zeros(len(a), dtype=np.int64)
+    live = np.arange(len(a))
+    while len(live):
+        differ = word[a] ^ word[b]
+        same = differ == 0
+        low = differ & (~differ + np.uint64(1))              # the lowest bit that differs
+        length[live] += np.where(same, many, np.searchsorted(LOW[:many - 1], low, side="right"))
+        live, a, b = live[same], a[same] + many, b[same] + many
+    return length
+
+
 def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
     """For each position, the common prefix with the suffix sorted before its
     own.  Where the symbols before both are equal, it is one less than for the
@@ -145,12 +173,7 @@ def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
     follows[follows] = t[i[follows] - 1] == t[before[follows] - 1]
     base = np.flatnonzero(~follows & (before >= 0))
     length = np.zeros(n, dtype=np.int64)
-    live, k = base, 0
-    while len(live):
-        live = live[np.maximum(live, before[live]) + k < n]
-        live = live[t[live + k] == t[before[live] + k]]
-        k += 1
-        length[live] = k
+    length[base] = _common(t, base, before[base])
     # positions that follow: count down from the last compared one
     last = np.maximum.accumulate(np.where(follows, 0, i))
     return np.where(follows, length[last] - (i - last), length)

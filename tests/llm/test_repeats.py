@@ -92,3 +92,14 @@ def test_many_blocks_of_keys(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert repeats._blocks(repeats._source(docs, "doc_id", "text")) > 10
     assert got(docs) == plain([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_keys_of_one_owner_stay_out_of_the_suffix_array(monkeypatch):
+    a, b, c = b"0123456789" * 6, b"abcdefghij" * 6, b"zz" + b"abcdefghij" * 6
+    seen, whole = [], repeats.shard_covers
+    monkeypatch.setattr(repeats, "shard_covers", lambda parts, *x: seen.append(parts) or whole(parts, *x))
+    got = repeats.key_covers(np.array([3, 3, 5, 5, 8]), [a, a + b"!", b, c, a], np.array([4, 4, 1, 2, 1]))
+    assert got == [[], [], [], [{"start": 2, "end": 62}], []]
+    assert seen == [[b, c]]
+    assert repeats.key_covers(np.array([3, 4]), [a, b], np.array([1, 2])) == [[], []]
+    assert len(seen) == 1

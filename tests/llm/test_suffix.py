@@ -38,3 +38,17 @@ def test_recursion_without_and_with_doubling(symbols):
 @pytest.mark.parametrize("text", ["a" * 300, "ab" * 200, "abcabcab" * 40 + "z", "mississippi" * 30, "ba" + "a" * 200 + "b" + "a" * 200])
 def test_periodic(text):
     check([ord(c) for c in text], 2000)
+
+
+def test_doubling_leaves_final_groups_alone(monkeypatch):
+    sorted_sizes, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, **k: sorted_sizes.append(len(a)) or argsort(a, **k))
+    t = np.append(np.concatenate([np.arange(2, 5000), np.full(40, 1)]), 0)       # 4,998 are final at once
+    sa = suffix._doubled(t)
+    assert sa.tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
+    assert sorted_sizes[0] == len(t) and max(sorted_sizes[1:]) <= 40
+
+
+def test_common_prefixes_of_wide_symbols():
+    t = np.array([70_000, 5, 70_000, 5, 70_000, 9, 0])
+    assert suffix.permuted_common_prefixes(t, suffix.suffix_array(t)).tolist() == [0, 0, 3, 2, 1, 0, 0]
