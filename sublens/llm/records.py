@@ -30,10 +30,12 @@ repeated records.  No rows: an empty folder, an empty index.
 from __future__ import annotations
 
 import bisect
+import contextlib
 import functools
 import itertools
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -47,7 +49,9 @@ from sublens.llm.common import run_folder
 FILE_BYTES = 32 << 20         # about how much text goes into one file
 END_ID = 1
 BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
-WORD_STORE = 1 << 19          # words and pieces in each half of an encoder's store
+WORD_STORE = 1 << 18          # words and pieces in each half of an encoder's store
+PIECE_BYTES = 1 << 20         # of a file that a reading task gets at once ...
+PIECE_ROWS = 4                # ... so many in an Arrow batch
 POLYNOMIAL = 0x82F63B78       # CRC-32C, reflected
 MASK_DELTA = 0xA282EAD8
 BLOCK = 128                   # bytes of a checksum block
@@ -157,7 +161,7 @@ class WordEncoder:
         self.known, self.older = {"": b""}, {}
 
     def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=f"<u{self.width}").tobytes()
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
 
     def _whole(self, text: str) -> bytes:
         return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -167,7 +171,11 @@ class WordEncoder:
         for w in words:
             if (seen := older.get(w)) is None:
                 m = plain(w) if self.by_piece else None
-                seen = b"".join([self._piece(x) for x in (m[1].lower(), m[2]) if x]) if m else self._whole(w)
+                if m:
+                    seen = self._piece(m[1].lower())
+                    seen = seen + self._piece(m[2]) if m[2] else seen
+                else:
+                    seen = self._whole(w)
             known[w] = seen
 
     def _piece(self, piece: str) -> bytes:
@@ -186,7 +194,7 @@ class WordEncoder:
         if len(self.known) >= WORD_STORE:                   # the oldest half goes
             self.older, self.known = self.known, {"": b""}
         if new := set(words).difference(self.known):
-            self._encode_new(sorted(new))
+            self._encode_new(new)
         return b"".join(map(self.known.__getitem__, words))
 
 
@@ -207,6 +215,17 @@ def _cuts(docs: DataFrame, id_col: str, text_col: str, file_bytes: int) -> list[
     return docs.agg(at.alias("q")).first()["q"] or []
 
 
+@contextlib.contextmanager
+def _batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows, for jobs with long rows that run inside."""
+    before = spark.conf.get(BATCH, None)
+    spark.conf.set(BATCH, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH) if before is None else spark.conf.set(BATCH, before)
+
+
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id",
                   text_col: str = "text", end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> None:
     """Encode every row of docs and write the record files under path."""
@@ -244,22 +263,20 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     rows = src.mapInArrow(encode, "part int, id long, record binary")
     rows = rows.repartitionById(len(cuts) + 1, F.col("part")).sortWithinPartitions("part", "id", "record")
     frames = rows.select("record").mapInArrow(frame, "value binary")
-    conf = docs.sparkSession.conf
-    before = conf.get(BATCH, None)
-    conf.set(BATCH, str(BATCH_ROWS))      # texts and records are long rows
-    try:
+    with _batches_of(docs.sparkSession, BATCH_ROWS):         # texts and records are long rows
         frames.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").option(
             "compression", "none").text(path)
-    finally:
-        conf.unset(BATCH) if before is None else conf.set(BATCH, before)
 
 
-def parse(data: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """(offset, size of the frame, record) of every frame, checksums verified."""
+def parse(data: bytes, whole: bool = True) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, size of the frame, record) of every frame, checksums verified.  If data
+    is not the whole file, its last frame may be cut short and is left out."""
     at, found = 0, []
     while at < len(data):
         n = int.from_bytes(data[at:at + 8], "little")
         if at + HEAD + n + TAIL > len(data):
+            if not whole:
+                break
             raise ValueError(f"frame at {at} is cut short")
         found.append((at, n))
         at += HEAD + n + TAIL
@@ -285,33 +302,57 @@ def split_record(record: bytes) -> tuple[int | None, np.ndarray]:
 INDEX = "file int, position int, offset long, size long, id long, n_tokens long, ids_crc32 long"
 
 
+def pieced(pieces: Iterator[tuple[str, bytes]]) -> Iterator[list[tuple]]:
+    """Rows of INDEX from (path, bytes) pieces, those of a file in their order.  Only
+    a piece and a frame that it cuts are held."""
+    path, file, base, position, held, size, need = None, 0, 0, 0, [], 0, HEAD
+    for name, piece in itertools.chain(pieces, [(None, b"")]):
+        if name != path:
+            if size:
+                raise ValueError(f"frame at {base} is cut short")
+            if name is None:
+                return
+            path, file, base, position, held, need = name, int(re.search(r"part-(\d+)-[^/]*$", name)[1]), 0, 0, [], HEAD
+        held.append(piece)
+        size += len(piece)
+        if size < need:
+            continue
+        data, done, rows = b"".join(held), 0, []
+        for at, n, rec in parse(data, whole=False):
+            doc, ids = split_record(rec)
+            rows.append((file, position, base + at, n, doc, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+            position, done = position + 1, at + n
+        held, size, base = [data[done:]], len(data) - done, base + done
+        need = HEAD + int.from_bytes(held[0][:8], "little") + TAIL if size >= HEAD else HEAD
+        if rows:
+            yield rows
+
+
 def scan(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the files: where it is, its id, token count and the
-    CRC-32 of its token ids as little-endian u32."""
+    CRC-32 of its token ids as little-endian u32.  Files come to Python in pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for name, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                file = int(re.search(r"part-(\d+)-[^/]*$", name)[1])
-                rows = []
-                for at, size, rec in parse(data.as_py()):
-                    doc, ids = split_record(rec)
-                    rows.append((file, len(rows), at, size, doc, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                if rows:
-                    cols = [x.strip().split(" ") for x in INDEX.split(",")]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(v, pa.int32() if t == "int" else pa.int64())
-                         for v, (_, t) in zip(zip(*rows, strict=True), cols, strict=True)], [n for n, _ in cols])
+        cols = [x.strip().split(" ") for x in INDEX.split(",")]
+        pieces = ((name.as_py(), x.as_py()) for b in batches for name, x in zip(b.column(0), b.column(1), strict=True))
+        for rows in pieced(pieces):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, pa.int32() if t == "int" else pa.int64())
+                 for v, (_, t) in zip(zip(*rows, strict=True), cols, strict=True)], [n for n, _ in cols])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content").mapInArrow(run, INDEX)
+    last = F.greatest(F.ceil(F.length("content") / PIECE_BYTES).cast("int"), F.lit(1)) - 1
+    pieces = files.select("path", F.explode(F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(
+        F.col("content"), i * PIECE_BYTES + 1, F.lit(PIECE_BYTES)))).alias("piece"))
+    return pieces.mapInArrow(run, INDEX)
 
 
 def write_index(spark: SparkSession, path: str, index_path: str) -> DataFrame:
     """Scan the files, add each record's ``start`` (token ids before it over
     all files) and write the index table; returns it as read back.  The running sum is
     taken inside each file; only one total per file is added up across files."""
-    scan(spark, path).write.parquet(f"{index_path}/scan")
+    with _batches_of(spark, PIECE_ROWS):
+        scan(spark, path).write.parquet(f"{index_path}/scan")
     rows = spark.read.schema(INDEX).parquet(f"{index_path}/scan")
     totals = {r["file"]: r["n"] for r in rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).collect()}
     before = dict(zip(sorted(totals), itertools.accumulate([0, *[totals[f] for f in sorted(totals)]]), strict=False))

@@ -105,6 +105,30 @@ def test_damage_is_found():
             list(records.parse(bytes(bad)))
 
 
+def test_files_are_read_in_pieces(spark, monkeypatch):
+    rows = [(i, "word " * (i % 60)) for i in range(200)] + [(700, "long " * 3000), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path, index = records.output(df, file_bytes=8_000)
+    columns = ["file", "position", "offset", "size", "id", "n_tokens", "ids_crc32"]
+    want = sorted(map(tuple, index.select(columns).collect()))
+    monkeypatch.setattr(records, "PIECE_BYTES", 64)
+    with records._batches_of(spark, records.PIECE_ROWS):
+        assert sorted(map(tuple, records.scan(spark, path).collect())) == want
+    files = {r["path"]: bytes(r["content"]) for r in
+             spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()}
+    for size in (1, 7, 1 << 20):
+        pieces = [(p, d[i:i + size]) for p, d in files.items() for i in range(0, max(len(d), 1), size)]
+        assert sorted(r for some in records.pieced(iter(pieces)) for r in some) == want
+    name, data = next((p, d) for p, d in files.items() if d)
+    for cut in ([(name, data[:-3])], [(name, data[:-3]), (name.replace("part-", "part-9"), data)]):
+        with pytest.raises(ValueError):
+            list(records.pieced(iter(cut)))
+    limit = spark.conf.get(records.BATCH)
+    with records._batches_of(spark, 3):
+        assert spark.conf.get(records.BATCH) == "3"
+    assert spark.conf.get(records.BATCH) == limit
+
+
 def test_word_encoder_equals_the_tokenizer(spark):
     import public_tokenizers
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
