@@ -166,14 +166,16 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _encode_new(self, words: list[str]) -> None:
+    def _encode_new(self, words: set[str]) -> None:
         known, older, plain = self.known, self.older, self.PLAIN.fullmatch
         for w in words:
             if (seen := older.get(w)) is None:
-                m = plain(w) if self.by_piece else None
-                if m:
-                    seen = self._piece(m[1].lower())
-                    seen = seen + self._piece(m[2]) if m[2] else seen
+                if self.by_piece and (m := plain(w)):
+                    letters, marks = m.groups()
+                    lower = letters.lower()
+                    seen = self._new_piece(w) if lower == w else self._piece(lower)
+                    if marks:
+                        seen += self._piece(marks)
                 else:
                     seen = self._whole(w)
             known[w] = seen
@@ -183,10 +185,14 @@ class WordEncoder:
         if seen is None:
             seen = self.older.get(piece)
             if seen is None:
-                seen = self._bytes([t.id for t in self.model.tokenize(piece.translate(self.forms))])
+                seen = self._new_piece(piece)
             self.known[piece] = seen
         return seen
 
+    def _new_piece(self, piece: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(piece.translate(self.forms))]
+        return self._bytes(ids)
+
     def encode(self, text: str) -> bytes:
         if not self.by_word:
             return self._whole(text)
